@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tracecut.llm import secrets, tokens
+from tracecut.llm import secrets, tokens, toxicity
 
 
 def queries():
     return {
         "op6_secret_scans": secrets.op6,
+        "op8_toxicity": toxicity.op8,
         "op10_token_counts": tokens.op10,
     }
 

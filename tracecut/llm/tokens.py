@@ -20,8 +20,8 @@ from tracecut.llm.common import check_names, field, map_columns, table
 LIMIT = 4096
 #: Documents, about, from which the frequent pre-tokens are taken, and how many of these are broadcast.
 #: They only spare a shuffle: whichever are taken, every document's sum is the same.
-SAMPLE_DOCS = 5_000
-BROADCAST_ROWS = 200_000
+SAMPLE_DOCS = 2_000
+BROADCAST_ROWS = 100_000
 KEY_CHARS = 40
 #: Distinct pre-tokens that a task counts before it hands them on, and texts that it knows as seen.
 FLUSH = 100_000
@@ -87,7 +87,7 @@ def frequent(docs: DataFrame, text: str, path: str) -> dict[str, int]:
     """Pieces of the most frequent pre-tokens of a sample: BROADCAST_ROWS strings of KEY_CHARS characters at most."""
     rows = max(1, docs.count())
     sample = docs.sample(min(1.0, SAMPLE_DOCS / rows), seed=17)
-    top = frequencies(sample, text).filter(F.length("pre_token") <= KEY_CHARS).orderBy(F.desc("freq"), "pre_token").limit(BROADCAST_ROWS)
+    top = frequencies(sample, text).filter((F.length("pre_token") <= KEY_CHARS) & (F.col("freq") > 1)).orderBy(F.desc("freq"), "pre_token").limit(BROADCAST_ROWS)
     tokens = top.select("pre_token").toArrow().column(0).to_pylist()
     return dict(zip(tokens, PieceCounter(path)(tokens) if tokens else [], strict=True))
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tracecut.llm import secrets, tokens, toxicity
+from tracecut.llm import language, secrets, tokens, toxicity
 
 
 def queries():
     return {
+        "op4_language_id": language.op4,
         "op6_secret_scans": secrets.op6,
         "op8_toxicity": toxicity.op8,
         "op10_token_counts": tokens.op10,

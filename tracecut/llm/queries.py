@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tracecut.llm import language, secrets, tokens, toxicity
+from tracecut.llm import language, secrets, tokens, toxicity, urls
 
 
 def queries():
     return {
         "op4_language_id": language.op4,
+        "op5_url_filters": urls.op5,
         "op6_secret_scans": secrets.op6,
         "op8_toxicity": toxicity.op8,
         "op10_token_counts": tokens.op10,
@@ -15,4 +16,6 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return {
+        "op5_url_filters": urls.sql(),
+    }

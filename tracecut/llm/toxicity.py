@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Callable
 
@@ -28,49 +29,55 @@ MULTIPLIERS = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    return list(map(sys.intern, WORD.findall(text.lower()))) if text else []
 
 
-class Counts:
-    """Discounted word and bigram counts of some texts. A text counts an expression once, however often it repeats it."""
-
-    def __init__(self, texts: list[list[str]]):
-        self.uni: Counter = Counter()
-        self.bi: Counter = Counter()
-        for words in texts:
-            self.uni.update(set(words))
-            self.bi.update(set(zip(words, words[1:], strict=False)))
-        self.total = sum(self.uni.values()) or 1
-        self.kept = sum(map(discount, self.uni.values())) / self.total if self.uni else 1.0
-        self.context: Counter = Counter()
-        self.given: Counter = Counter()
-        for (a, _), n in self.bi.items():
-            self.context[a] += n
-            self.given[a] += discount(n)
-
-    def word(self, w: str, backoff: float) -> float:
-        n = self.uni.get(w, 0)
-        return (n - discount(n)) / self.total + self.kept * backoff
-
-    def pair(self, a: str, b: str, backoff: float) -> float:
-        total = self.context.get(a)
-        if not total:
-            return backoff
-        n = self.bi.get((a, b), 0)
-        return (n - discount(n)) / total + self.given[a] / total * backoff
-
-
-def discount(n: int) -> float:
+def discount(n: np.ndarray) -> np.ndarray:
     """Grows with the root of a count; a count of 1 goes to the shared counts wholly, for what one text has is no evidence."""
-    return min(float(n), 1.5 * math.sqrt(n)) if n > 1 else float(n)
+    return np.minimum(n, np.where(n > 1, 1.5 * np.sqrt(n), n)).astype(np.float64)
+
+
+class Counts:
+    """Discounted word and bigram counts of some texts, given as word ids from 1 on; id 0 is any other word.
+
+    A text counts an expression once, however often it repeats it. Counts of 1 have no weight of
+    their own, so only sums remain of them.
+    """
+
+    def __init__(self, texts: list[np.ndarray], size: int):
+        uni = np.zeros(size, np.int64)
+        for ids in texts:
+            uni[np.unique(ids)] += 1
+        pairs = [np.unique(ids[:-1] * size + ids[1:]) for ids in texts]
+        code, n = np.unique(np.concatenate([*pairs, np.zeros(0, np.int64)]), return_counts=True)
+        self.size = size
+        self.uni, self.total = uni - discount(uni), max(int(uni.sum()), 1)
+        self.kept = float(discount(uni).sum()) / self.total if uni.any() else 1.0
+        self.context = np.bincount(code // size, n, size)
+        self.given = np.bincount(code // size, discount(n), size)
+        self.continued = np.bincount(code % size, minlength=size)
+        self.code, self.n = code[n > 1], n[n > 1] - discount(n[n > 1])
+
+    def words(self, backoff: np.ndarray) -> np.ndarray:
+        return self.uni / self.total + self.kept * backoff
+
+    def pairs(self, a: np.ndarray, b: np.ndarray, backoff: np.ndarray) -> np.ndarray:
+        total = self.context[a]
+        found = np.zeros(len(a))
+        if len(self.code):
+            code = a * self.size + b
+            at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+            found = np.where(self.code[at] == code, self.n[at], 0.0)
+        safe = np.maximum(total, 1)
+        return np.where(total > 0, found / safe + self.given[a] / safe * backoff, backoff)
 
 
 def without_copies(texts: list[list[str]]) -> list[list[str]]:
     """The texts but for those that share a smallest five-word shingle hash, by one of four hashes, with an earlier one."""
     seen, out = set(), []
     for words in texts:
-        grams = [xxhash.xxh3_64_intdigest(" ".join(words[i : i + 5]).encode()) for i in range(max(1, len(words) - 4))]
-        mins = {(k, min((g * m) & (2**64 - 1) for g in grams)) for k, m in enumerate(MULTIPLIERS)}
+        grams = np.array([xxhash.xxh3_64_intdigest(" ".join(words[i : i + 5]).encode()) for i in range(max(1, len(words) - 4))], np.uint64)
+        mins = {(k, int((grams * np.uint64(m)).min())) for k, m in enumerate(MULTIPLIERS)}
         if not mins & seen:
             out.append(words)
         seen |= mins
@@ -87,51 +94,63 @@ class Model:
     """
 
     def __init__(self, toxic: list[str], plain: list[str]):
-        both = [without_copies([words_of(t)[:SAMPLE_WORDS] for t in texts]) for texts in (toxic, plain)]
+        both = [without_copies([words_of(t)[:SAMPLE_WORDS] for t in dict.fromkeys(texts)]) for texts in (toxic, plain)]
+        often = Counter(w for texts in both for words in texts for w in set(words))
+        self.ids = {w: i for i, w in enumerate(sorted(w for w, n in often.items() if n > 1), 1)}
+        del often
+        ids = [[self.encode(words) for words in texts] for texts in both]
         # every fifth text is held back for the calibration
-        held = [[w for i, w in enumerate(texts) if i % 5 == 0] for texts in both]
-        rest = [[w for i, w in enumerate(texts) if i % 5] for texts in both]
-        self.pooled = Counts(rest[0] + rest[1])
-        self.continued = Counter(b for _, b in self.pooled.bi)
-        self.n_continued = sum(self.continued.values()) + len(self.continued) + 1
-        self.cache: dict = {}
-        self.toxic, self.plain = map(Counts, rest)
+        held = [[w for i, w in enumerate(texts) if i % 5 == 0] for texts in ids]
+        rest = [[w for i, w in enumerate(texts) if i % 5] for texts in ids]
+        size = len(self.ids) + 1
+        self.pooled = Counts(rest[0] + rest[1], size)
+        self.toxic, self.plain = (Counts(texts, size) for texts in rest)
+        self.shared = (self.pooled.continued + 1.0) / (self.pooled.continued.sum() + size)
+        self.words = [c.words(self.shared) for c in (self.toxic, self.plain)]
         self.weights = np.array([1.0, 1.0, 0.0])
         y = np.repeat([1.0, 0.0], [len(t) for t in held])
         if y.any() and not y.all():
-            self.weights = logistic(np.array([self.ratios(w) for texts in held for w in texts]), y)
-
-    def log_ratio(self, a: str, b: str) -> float:
-        r = self.cache.get((a, b))
-        if r is None:
-            if len(self.cache) > 500_000:
-                self.cache.clear()
-            shared = (self.continued.get(b, 0) + 1) / self.n_continued
-            pair = self.pooled.pair(a, b, shared) / shared
-            toxic, plain = (c.pair(a, b, c.word(b, shared) * pair) for c in (self.toxic, self.plain))
-            r = math.log(toxic / plain)
-            r = self.cache[a, b] = math.copysign(max(abs(r) - LEAST, 0.0), r)
-        return r
-
-    def ratios(self, words: list[str]) -> tuple[float, float]:
-        """Log-likelihood ratios of a text normalised by length: the largest mean of a stretch, and the sum over the root of the number of words.
+            self.weights = logistic(self.features(held[0] + held[1]), y)
+
+    def encode(self, words: list[str]) -> np.ndarray:
+        """Word ids behind a 0 that stands for the start of a text."""
+        return np.fromiter((self.ids.get(w, 0) for w in ["", *words]), np.int64, len(words) + 1)
+
+    def log_ratios(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = self.pooled.pairs(a, b, self.shared[b]) / self.shared[b]
+        toxic, plain = (c.pairs(a, b, w[b] * pair) for c, w in zip((self.toxic, self.plain), self.words, strict=True))
+        r = np.log(toxic / plain)
+        r = np.sign(r) * np.maximum(np.abs(r) - LEAST, 0)
+        return np.where(b > 0, r, 0.0)
+
+    def features(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Of each text its log-likelihood ratios normalised by length: the largest mean of a stretch, and the sum over the root of the number of words.
 
         A bigram counts where it comes first. A text without words has zeros.
         """
-        if not words:
-            return 0.0, 0.0
-        seen: set = set()
-        each = [0.0]
-        for pair in zip(["", *words], words, strict=False):
-            each.append(0.0 if pair in seen else self.log_ratio(*pair))
-            seen.add(pair)
-        sums, n = np.cumsum(each), len(words)
-        ends = np.minimum(np.arange(0, n, STRETCH // 4) + STRETCH, n)
-        return float((sums[ends] - sums[np.maximum(ends - STRETCH, 0)]).max() / STRETCH), float(sums[n] / math.sqrt(n))
-
-    def score(self, text: str | None) -> float:
-        z = float(np.dot(self.weights, (*self.ratios(words_of(text)), 1.0)))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+        out = np.zeros((len(texts), 2))
+        if not texts:
+            return out
+        each = self.log_ratios(np.concatenate([t[:-1] for t in texts]), np.concatenate([t[1:] for t in texts]))
+        at = 0
+        for k, t in enumerate(texts):
+            n = len(t) - 1
+            own = each[at : at + n]
+            at += n
+            places = np.flatnonzero(own)
+            if not len(places):
+                continue
+            first = np.unique(t[places] * self.toxic.size + t[places + 1], return_index=True)[1]
+            once = np.zeros(n + 1)
+            once[places[first] + 1] = own[places[first]]
+            sums = np.cumsum(once)
+            ends = np.minimum(np.arange(0, n, STRETCH // 4) + STRETCH, n)
+            out[k] = (sums[ends] - sums[np.maximum(ends - STRETCH, 0)]).max() / STRETCH, sums[n] / math.sqrt(n)
+        return out
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        z = self.features([self.encode(words_of(t)) for t in texts]) @ self.weights[:2] + self.weights[2]
+        return (1 / (1 + np.exp(-np.clip(z, -30, 30)))).tolist()
 
 
 def logistic(x: np.ndarray, y: np.ndarray, steps: int = 100) -> np.ndarray:
@@ -180,10 +199,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     schema = T.StructType([field(docs, key), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def make() -> Callable:
-        score = model.value.score
+        score = model.value.scores
 
         def step(keys, texts):
-            scores = [score(t) for t in texts]
+            scores = [s for i in range(0, len(texts), 64) for s in score(texts[i : i + 64])]
             return keys, scores, [int(s >= PREDICT_AT) for s in scores]
 
         return step

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tracecut.llm import language, secrets, tokens, toxicity, urls
+from tracecut.llm import language, quality, secrets, tokens, toxicity, urls
 
 
 def queries():
     return {
+        "op2_quality_rules": quality.op2,
         "op4_language_id": language.op4,
         "op5_url_filters": urls.op5,
         "op6_secret_scans": secrets.op6,
@@ -17,5 +18,6 @@ def queries():
 
 def oracle_sql():
     return {
+        "op2_quality_rules": quality.sql(),
         "op5_url_filters": urls.sql(),
     }

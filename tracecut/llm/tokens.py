@@ -20,8 +20,8 @@ from tracecut.llm.common import check_names, field, map_columns, table
 LIMIT = 4096
 #: Documents, about, from which the frequent pre-tokens are taken, and how many of these are broadcast.
 #: They only spare a shuffle: whichever are taken, every document's sum is the same.
-SAMPLE_DOCS = 2_000
-BROADCAST_ROWS = 100_000
+SAMPLE_DOCS = 6_000
+BROADCAST_ROWS = 200_000
 KEY_CHARS = 40
 #: Distinct pre-tokens that a task counts before it hands them on, and texts that it knows as seen.
 FLUSH = 100_000
@@ -161,7 +161,8 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", model
 
     rare = map_columns(docs.select(text), others, rest_schema).repartition("pre_token").sortWithinPartitions("pre_token", "text_key")
     found = map_columns(rare, counted, T.StructType([T.StructField("rare_key", T.BinaryType()), T.StructField("rare", T.LongType())]))
-    found = found.groupBy("rare_key").agg(F.sum("rare").alias("rare"))
+    # summed behind the shuffle only: sums in front of it would save less the more tasks there are
+    found = found.repartition("rare_key").groupBy("rare_key").agg(F.sum("rare").alias("rare"))
     each = map_columns(docs.select(key, text), sums, schema)
     total = F.col("known") + F.coalesce("rare", F.lit(0))
     return each.join(found, each.text_key == found.rare_key, "left").select(key, "n_bytes", total.alias("n_tokens"), (total > limit).alias("over_limit"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tracecut.llm import language, quality, secrets, tokens, toxicity, urls
+from tracecut.llm import language, packing, quality, secrets, tokens, toxicity, urls
 
 
 def queries():
@@ -11,6 +11,7 @@ def queries():
         "op4_language_id": language.op4,
         "op5_url_filters": urls.op5,
         "op6_secret_scans": secrets.op6,
+        "op7_packing": packing.op7,
         "op8_toxicity": toxicity.op8,
         "op10_token_counts": tokens.op10,
     }

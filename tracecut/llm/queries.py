@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tracecut.llm import language, packing, quality, secrets, tokens, toxicity, urls
+from tracecut.llm import jaccard, language, packing, quality, secrets, tokens, toxicity, urls
 
 
 def queries():
@@ -13,6 +13,7 @@ def queries():
         "op6_secret_scans": secrets.op6,
         "op7_packing": packing.op7,
         "op8_toxicity": toxicity.op8,
+        "op9_jaccard_join": jaccard.op9,
         "op10_token_counts": tokens.op10,
     }
 
@@ -21,4 +22,5 @@ def oracle_sql():
     return {
         "op2_quality_rules": quality.sql(),
         "op5_url_filters": urls.sql(),
+        "op9_jaccard_join": jaccard.sql(),
     }

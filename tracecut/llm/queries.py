@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tracecut.llm import jaccard, language, packing, quality, secrets, tokens, toxicity, urls
+from tracecut.llm import decontaminate, jaccard, language, packing, quality, secrets, tokens, toxicity, urls
 
 
 def queries():
     return {
         "op2_quality_rules": quality.op2,
+        "op3_decontamination": decontaminate.op3,
         "op4_language_id": language.op4,
         "op5_url_filters": urls.op5,
         "op6_secret_scans": secrets.op6,

@@ -246,5 +246,25 @@ def find_leaks(docs: DataFrame, tests: DataFrame, key: str = "doc_id", text: str
     return out
 
 
+def without_leaks(docs: DataFrame, tests: DataFrame, columns: list[str], text: str = "text", item_key: str = "item_id", item_text: str = "text", retrieve: float = RETRIEVE) -> DataFrame:
+    """The documents in which `find_leaks` finds no item, with these columns."""
+    out = docs.select(*columns)
+    at = columns.index(text)
+    for index in indexes(tests, item_key, item_text, retrieve):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+
+        def make(shared=shared) -> Callable:
+            search = shared.value.search
+
+            def step(*own):
+                clean = [i for i, t in enumerate(own[at]) if not search(t)]
+                return tuple([c[i] for i in clean] for c in own)
+
+            return step
+
+        out = map_columns(out, make, T.StructType(out.schema.fields))
+    return out
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -271,13 +271,21 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     return out.select(F.col("key").alias(key), F.coalesce("class_id", "key").alias("class_id"), F.coalesce("copy_id", "key").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def one_of_each(docs: DataFrame, columns: list[str], text: str = "text") -> DataFrame:
+    """The first document of each class that `join_similar` finds, with these columns; documents without words all stay."""
+    rows = written(docs.select(*columns, F.monotonically_increasing_id().alias("__row")))
+    gone = written(join_similar(rows, "__row", text).filter("class_id <> __row").select("__row"))
+    few = gone.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(gone) if few else gone, "__row", "left_anti").select(*columns)
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_similar(table(spark, sf_dir, "documents"))
 
 
 def sql() -> str:
     """Exact pairs by shared shingles, and components by a recursive query."""
-    return f"""
+    return rf"""
     WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM documents WHERE text IS NOT NULL),
     s AS (SELECT DISTINCT doc_id, unnest([ws[i:i + {WORDS - 1}] FOR i IN range(1, greatest(len(ws) - {WORDS - 1}, 1) + 1)]) AS g FROM w WHERE len(ws) > 0),
     sets AS (SELECT doc_id, count(*) AS n, md5(string_agg(g::VARCHAR, '|' ORDER BY g::VARCHAR)) AS h FROM s GROUP BY doc_id),

@@ -36,10 +36,10 @@ def repeated_words(words: Column, grams: Column) -> Column:
     return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.array().cast("array<struct<g:bigint,i:int>>")).otherwise(tagged)
 
 
-def counted(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
+def counted(docs: DataFrame, key: Column, text: str, lang: str) -> DataFrame:
     """The key and the base counts, with the tokens and classes that the method needs."""
     t = F.coalesce(F.col(text), F.lit(""))
-    df = docs.select(F.col(key).alias("key"), F.col(lang).alias("lang"), t.alias("text")).withColumn("words", words_of(F.col("text")))
+    df = docs.select(key.alias("key"), F.col(lang).alias("lang"), t.alias("text")).withColumn("words", words_of(F.col("text")))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     hashes = F.transform(F.sequence(F.lit(0), F.size("words") - 3), lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))
     df = df.select(
@@ -125,6 +125,15 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     empty, null languages give no reference, repeated rows and null keys stay as they are.
     """
     check_names(key, ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance"])
+    return judged(docs, F.col(key), text, lang).withColumnRenamed("key", key)
+
+
+def keep_good(docs: DataFrame, columns: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
+    """The documents that `judge` keeps, with these columns."""
+    return judged(docs, F.struct(*columns), text, lang).filter("kept").select("key.*")
+
+
+def judged(docs: DataFrame, key: Column, text: str, lang: str) -> DataFrame:
     common = common_words(docs, text, lang)
     listed = F.array(*(F.lit(w) for w in sorted({w for ws in common.values() for w in ws}))).cast("array<string>")
     base = counted(docs, key, text, lang)
@@ -132,7 +141,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     found = F.transform(F.array_intersect(tokens, listed), lambda w: F.struct(w.alias("w"), (F.size(tokens) - F.size(F.array_remove(tokens, w))).alias("n")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     features = written(base.select("*", found.alias("common"), F.size("tokens").alias("n_tokens"), failed.alias("base_failed")).drop("tokens"))
-    return verdicts(features, common, references(features, common)).withColumnRenamed("key", key)
+    return verdicts(features, common, references(features, common))
 
 
 def verdicts(features: DataFrame, common: dict[str, list[str]], refs: dict[str, tuple[list[float], list[float]]]) -> DataFrame:
@@ -166,7 +175,7 @@ def sql() -> str:
     class_counts = ", ".join(f"length(text) - length(regexp_replace(text, '{c}', '', 'g'))" for c in classes)
     n = len(CLASSES)
     jsd = "sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0))"
-    return f"""
+    return rf"""
     WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
     w AS (SELECT *, list_filter(string_split_regex(text, '{spaces}'), lambda x: x <> '') AS words,
         list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{Nd}}]+'), lambda x: x <> '') AS tokens,

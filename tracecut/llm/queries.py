@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tracecut.llm import decontaminate, jaccard, language, packing, quality, secrets, tokens, toxicity, urls
+from tracecut.llm import decontaminate, jaccard, language, packing, quality, secrets, substrings, tokens, toxicity, urls
 
 
 def queries():
     return {
+        "op1_suffix_dedup": substrings.op1,
         "op2_quality_rules": quality.op2,
         "op3_decontamination": decontaminate.op3,
         "op4_language_id": language.op4,

@@ -131,7 +131,7 @@ def sql() -> str:
     verdict = "CASE " + " ".join(f"WHEN {_fits_sql(r)} THEN '{v}'" for r, v in order) + " END"
     parts = ", ".join(f"coalesce(parts[{i + 2}], '')" for i in range(DEPTH))
     levels = reduce(str.__add__, map(_level_sql, range(DEPTH + 1)))
-    return f"""
+    return rf"""
     WITH u AS (SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
     s AS (SELECT *, string_split(regexp_replace(regexp_replace(regexp_replace(path, '[0-9a-f]{{16,}}', '<x>', 'g'), '[0-9]+', '<n>', 'g'), '[^/]{{41,}}', '<long>', 'g'), '/') AS parts FROM u),

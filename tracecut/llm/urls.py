@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracecut.llm.common import check_names, table
+from tracecut.llm.common import check_names, table, written
 
 #: (rule, verdict); a rule is a host and the start of a path.
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
@@ -60,7 +60,7 @@ def templates(paths: DataFrame) -> DataFrame:
     so a host with very many paths is spread over tasks.
     """
     sums = [F.sum(c).alias(c) for c in ("n", "lab", "bad")]
-    tree = paths.withColumn("template", F.lit(""))
+    tree = written(paths.withColumn("template", F.lit("")))
     for level in range(DEPTH + 1):
         here = tree.withColumn("seg", F.col("segs")[level])
         branch = here.groupBy("host", "template", "seg").agg(*sums)
@@ -72,7 +72,7 @@ def templates(paths: DataFrame) -> DataFrame:
         stays = (F.col("n") >= SUPPORT) & (F.col("n") >= SHARE * F.col("n_all")) & F.coalesce(differs, F.lit(False))
         named = branch.join(node, ["host", "template"]).filter(stays).select("host", "template", "seg", F.lit(True).alias("stays"))
         name = F.when(F.col("seg") == "", "").when(F.col("stays"), F.concat(F.lit("/"), "seg")).otherwise("/*")
-        tree = here.join(named, ["host", "template", "seg"], "left").select("host", "segs", F.concat("template", name).alias("template"), "n", "lab", "bad")
+        tree = written(here.join(named, ["host", "template", "seg"], "left").select("host", "segs", F.concat("template", name).alias("template"), "n", "lab", "bad"))
     return tree
 
 

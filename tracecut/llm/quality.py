@@ -42,13 +42,17 @@ def counted(docs: DataFrame, key: Column, text: str, lang: str) -> DataFrame:
     df = docs.select(key.alias("key"), F.col(lang).alias("lang"), t.alias("text")).withColumn("words", words_of(F.col("text")))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     hashes = F.transform(F.sequence(F.lit(0), F.size("words") - 3), lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))
+    # most of a text is small letters and white space: what is left is short, and the other classes are counted there
+    df = df.withColumn("rest", F.regexp_replace("text", r"[\p{Ll}\x20\x09-\x0D]+", "")).withColumn("word_chars", F.length(F.array_join("words", "")))
+    small = F.col("word_chars") - F.length("rest")
+    others = [F.length("rest") - F.length(F.regexp_replace("rest", c, "")) for c in (CLASSES[1], CLASSES[2], CLASSES[4])]
     df = df.select(
         "key", "lang", "words",
         F.length("text").alias("n_chars"),
-        F.length(F.regexp_replace("text", SPACES, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.col("word_chars").cast("long").alias("word_chars"),
+        (F.length("rest") - F.length(F.translate("rest", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         lines.alias("lines"),
-        F.array(*(F.length("text") - F.length(F.regexp_replace("text", c, "")) for c in CLASSES)).alias("classes"),
+        F.array(small, others[0], others[1], F.length("text") - F.col("word_chars"), others[2]).alias("classes"),
         F.array_remove(F.split(F.lower("text"), r"[^\p{L}\p{Nd}]+"), "").alias("tokens"),
         F.when(F.size("words") > 3, hashes).otherwise(F.array().cast("array<bigint>")).alias("grams"),
     )
@@ -102,18 +106,15 @@ def shares(counts: list[int], total: int) -> list[float]:
     return [c / total if total else 0.0 for c in [*counts, total - sum(counts)]]
 
 
-def distance(p: list[Column], q: list[float]) -> Column:
-    """Jensen-Shannon distance of two histograms, 0 to 1."""
-    terms = []
-    for a, b in zip(p, q, strict=True):
+def distance(p: Column, q: list[float]) -> Column:
+    """Jensen-Shannon distance of an array of shares from a histogram, 0 to 1."""
+
+    def term(a: Column, b: Column) -> Column:
         m = (a + b) / 2
-        terms.append(F.when(a > 0, a * F.log2(a / m)).otherwise(0.0))
-        if b > 0:
-            terms.append(b * F.log2(F.lit(b) / m))
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
+        return F.when(a > 0, a * F.log2(a / m)).otherwise(0.0) + F.when(b > 0, b * F.log2(b / m)).otherwise(0.0)
+
+    terms = F.zip_with(p, F.array(*map(F.lit, q)), term)
+    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda x, y: x + y) / 2, F.lit(0.0)))
 
 
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -147,16 +148,15 @@ def judged(docs: DataFrame, key: Column, text: str, lang: str) -> DataFrame:
 def verdicts(features: DataFrame, common: dict[str, list[str]], refs: dict[str, tuple[list[float], list[float]]]) -> DataFrame:
     out = ["key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     chars, n_tokens = (F.greatest(c, F.lit(1)).cast("double") for c in (F.col("n_chars"), F.col("n_tokens")))
-    per_class = [F.col("classes")[i] for i in range(len(CLASSES))]
-    rest = F.col("n_chars") - F.aggregate("classes", F.lit(0), lambda x, y: x + y)
-    df = features.withColumn("counts", F.map_from_entries("common"))
+    total = lambda xs: F.aggregate(xs, F.lit(0), lambda x, y: x + y)
+    df = features.withColumn("counts", F.map_from_entries("common")).withColumn("shares", F.transform(F.array_append("classes", F.col("n_chars") - total(F.col("classes"))), lambda x: x / chars))
     each = []
-    for language, (classes, words) in refs.items():
-        own = [F.coalesce(F.try_element_at("counts", F.lit(w)), F.lit(0)) for w in common[language]]
-        other = F.col("n_tokens") - sum(own, F.lit(0))
-        by_class = distance([c / chars for c in [*per_class, rest]], classes)
-        by_word = distance([c / n_tokens for c in [*own, other]], words)
-        each.append(F.struct(by_class.alias("c"), by_word.alias("w")))
+    for i, (language, (classes, words)) in enumerate(refs.items()):
+        listed = F.array(*map(F.lit, common[language])).cast("array<string>")
+        df = df.withColumn(f"own{i}", F.transform(listed, lambda w: F.coalesce(F.try_element_at("counts", w), F.lit(0))))
+        own = F.array_append(f"own{i}", F.col("n_tokens") - total(F.col(f"own{i}")))
+        by_word = distance(F.transform(own, lambda x: x / n_tokens), words)
+        each.append(F.struct(distance(F.col("shares"), classes).alias("c"), by_word.alias("w")))
     if not each:
         return df.select(*out, (~F.col("base_failed")).alias("kept"), F.lit(None).cast("double").alias("class_distance"), F.lit(None).cast("double").alias("word_distance"))
     df = df.withColumn("near", F.array(*each))

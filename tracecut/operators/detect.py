@@ -99,7 +99,7 @@ def early_overlap(found: DataFrame, stable: DataFrame, most: int) -> DataFrame:
 
 def discontinuity(frames: DataFrame, states: list[str], actions: list[str], least: float, ratio: float) -> DataFrame:
     """ep, frame, jump: of episodes with a raw state step of `least` or more in a channel whose norm is `ratio` times the action's or more, infinite where that is 0; the step of largest norm, the first of equal ones."""
-    own = with_steps(frames, states + actions).filter(F.col(f"step_{states[0]}").isNotNull())
+    own = with_steps(frames, list(dict.fromkeys(states + actions))).filter(F.col(f"step_{states[0]}").isNotNull())
     moved, asked = norm([F.col(f"step_{c}") for c in states]), norm([F.col(f"step_{c}") for c in actions])
     own = own.select("ep", "f", largest([F.col(f"step_{c}") for c in states]).alias("top"), moved.alias("moved"), asked.alias("asked"))
     bad = own.filter((F.col("top") >= least) & F.when(F.col("asked") > 0, F.col("moved") / F.col("asked") >= ratio).otherwise(True))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -24,43 +26,49 @@ GAP = 5e-4
 #: Documents are ranked within so many buckets first, and then across them.
 BUCKETS = 512
 #: Distinct words whose ids a task keeps.
-CACHE = 400_000
+CACHE = 600_000
 #: Characters at which Python's white space and the tokenizer's differ, and the start of its special strings.
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer that drops white space and merges nothing across it, so a text's ids are those of its words.
+    """Ids of texts, as little-endian unsigned 32-bit bytes, by a tokenizer that drops white space and merges nothing across it.
 
-    Each distinct word is encoded once, as long as it is kept. Texts with special strings, or with
-    characters that only Python takes for white space, are encoded whole.
+    A text's ids are so those of its words, and each distinct word is encoded once as long as there is
+    room to keep it; the frequent ones come first. Texts with special strings, or with characters that
+    only Python takes for white space, are encoded whole.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
         words = [None if t and any(x in t for x in ODD) else (t or "").split() for t in texts]
-        if len(self.known) > CACHE:
-            self.known = {}
-        known = self.known
-        new = list({w for ws in words if ws for w in ws if w not in known})
-        for i in range(0, len(new), 5000):
-            part = new[i : i + 5000]
-            known.update(zip(part, (np.array(x, np.uint32) for x in self.encode(part)), strict=True))
-        out = []
-        for t, ws in zip(texts, words, strict=True):
-            if ws is None:
-                out.append(np.array([*self.encode([t])[0], END_ID], np.uint32))
-            else:
-                out.append(np.concatenate([*map(known.__getitem__, ws), np.array([END_ID], np.uint32)]))
-        return out
+        new = list(set().union(*(ws for ws in words if ws)).difference(self.known))
+        table, found = self.known, dict(zip(new, self.encode(new), strict=True))
+        if len(table) < CACHE:
+            table.update(found)
+        else:
+            table = {w: table[w] for ws in words if ws for w in ws if w in table} | found
+        end = array("I", [END_ID]).tobytes()
+        return [(self.encode([t])[0] if ws is None else b"".join(map(table.__getitem__, ws))) + end for t, ws in zip(texts, words, strict=True)]
+
+
+#: A worker process keeps its encoders from task to task.
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def lone_lengths(length: int) -> list[int]:
@@ -156,17 +164,17 @@ def pieces_of(docs: DataFrame, key: str, text: str, path: str, length: int) -> D
     schema = T.StructType([T.StructField("key", field(docs, key).dataType), *fields])
 
     def make() -> Callable:
-        encode = WordEncoder(path)
+        encode = encoder(path)
 
         def step(keys, texts):
             n, full, rest = [], [], []
-            for i in range(0, len(texts), 64):
-                for ids in encode(texts[i : i + 64]):
-                    cut = len(ids) // length * length
-                    raw = ids.astype("<u4").tobytes()
-                    n.append(len(ids))
+            for i in range(0, len(texts), 256):
+                for raw in encode(texts[i : i + 256]):
+                    size = len(raw) // 4
+                    cut = size // length * length
+                    n.append(size)
                     full.append([zlib.crc32(raw[4 * a : 4 * (a + length)]) for a in range(0, cut, length)])
-                    rest.append(zlib.crc32(raw[4 * cut :]) if cut < len(ids) else None)
+                    rest.append(zlib.crc32(raw[4 * cut :]) if cut < size else None)
             return keys, n, full, rest
 
         return step

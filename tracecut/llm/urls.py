@@ -80,7 +80,8 @@ def judge(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str =
     """One row a page: its key, host, path, rule, verdict, template, purity.
 
     A rule's verdict holds where one fits. Elsewhere the page's template decides: `block` where the
-    share of bad labelled pages, smoothed by its host's and that by all pages', reaches REJECT. Labels
+    share of bad labelled pages, smoothed by its host's and that by all pages', reaches REJECT; without any
+    label all templates are allowed. Labels
     are rows of `labels` whose key is the page's; null labels are none, and of several the worst counts.
     Null urls and those without :// have an empty host and path, and so the template of those.
     """
@@ -93,7 +94,7 @@ def judge(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str =
     tree = templates(paths)
     hosts = tree.groupBy("host").agg(F.sum("lab").alias("lab_h"), F.sum("bad").alias("bad_h"))
     total = tree.agg(F.coalesce(F.sum("lab"), F.lit(0)).alias("lab"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
-    overall = (total["bad"] + 1.0) / (total["lab"] + 2.0)
+    overall = total["bad"] / (total["lab"] + 1.0)
     rate = tree.groupBy("host", "template").agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad")).join(hosts, "host")
     above = (F.col("bad_h") + PRIOR * overall) / (F.col("lab_h") + PRIOR)
     rate = rate.select("host", "template", ((F.col("bad") + PRIOR * above) / (F.col("lab") + PRIOR)).alias("purity"))
@@ -140,7 +141,7 @@ def sql() -> str:
     t0 AS (SELECT host, segs, '' AS template, count(*) AS n, count(b) AS lab, coalesce(sum(b), 0) AS bad FROM parsed LEFT JOIN marks ON page_id = doc_id GROUP BY host, segs),
     {levels}
     tree AS (SELECT * FROM t{DEPTH + 1}),
-    total AS (SELECT (coalesce(sum(bad), 0) + 1.0::DOUBLE) / (coalesce(sum(lab), 0) + 2.0::DOUBLE) AS overall FROM tree),
+    total AS (SELECT coalesce(sum(bad), 0) / (coalesce(sum(lab), 0) + 1.0::DOUBLE) AS overall FROM tree),
     hosts AS (SELECT host, sum(lab) AS lab_h, sum(bad) AS bad_h FROM tree GROUP BY host),
     rate AS (SELECT host, template, (sum(bad) + {PRIOR}::DOUBLE * any_value((bad_h + {PRIOR}::DOUBLE * overall) / (lab_h + {PRIOR}::DOUBLE))) / (sum(lab) + {PRIOR}::DOUBLE) AS purity
         FROM tree JOIN hosts USING (host), total GROUP BY host, template)

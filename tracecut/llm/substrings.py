@@ -40,8 +40,12 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base of the rolling hash, and of its inverse, modulo 2**64."""
     if n not in _powers:
-        inverse = pow(_BASE, -1, 1 << 64)
-        _powers[n] = tuple(np.cumprod(np.concatenate([[1], np.full(n - 1, x, np.uint64)]).astype(np.uint64)) for x in (_BASE, inverse))
+        found = []
+        for x in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.full(n, x, np.uint64)
+            steps[0] = 1
+            found.append(np.cumprod(steps))
+        _powers[n] = tuple(found)
     return _powers[n]
 
 

@@ -194,6 +194,17 @@ def test_jaccard(spark, monkeypatch):
     assert keyed(jaccard.join_similar(table(spark, rows).drop("__row")), "class_id", "n_links") == want
 
 
+@pytest.mark.parametrize(("shared", "a", "b"), [(12, 14, 13), (88, 99, 99), (404, 505, 404)])
+def test_jaccard_ties(spark, shared, a, b):
+    """Pairs at exactly 0.8 are linked, those with one shingle less in common are not."""
+    for common, want in ((shared, True), (shared - 1, False)):
+        sets = [np.arange(a, dtype=np.uint64), np.append(np.arange(common), np.arange(b - common) + 10_000).astype(np.uint64)]
+        assert jaccard.linked(sets, np.zeros(2), True, 0.8)[0, 1] == want
+    words = [f"w{i}" for i in range(a + 4)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[: shared + 4] + [f"v{i}" for i in range(b - shared)]))]
+    assert keyed(jaccard.join_similar(spark.createDataFrame(rows, "doc_id long, text string")), "class_id", "n_links") == Counter({(1, 1, 1): 1, (2, 1, 1): 1})
+
+
 @pytest.mark.parametrize("broadcast", [50, 200_000])
 def test_token_counts(spark, monkeypatch, broadcast):
     monkeypatch.setattr(tokens, "BROADCAST_ROWS", broadcast)

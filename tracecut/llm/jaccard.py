@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -119,7 +120,7 @@ def members_of(docs: DataFrame, key: str, text: str, words: int, d: int) -> Data
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     """Shingles that each two of the sets share: by products where many sets hold a shingle, by pairs where few do."""
     m = len(sets)
-    out = np.zeros((m, m), np.float32)
+    out = np.zeros((m, m), np.float64)
     owner = np.repeat(np.arange(m), [len(s) for s in sets])
     _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     order = np.argsort(column, kind="stable")
@@ -149,10 +150,11 @@ def sparse(flat: np.ndarray, m: int) -> np.ndarray:
 
 
 def linked(sets: list[np.ndarray], block: np.ndarray, own: bool, threshold: float) -> np.ndarray:
-    """Which two sets reach the threshold; of a pair of blocks (own is false) only across them."""
+    """Which two sets reach the threshold, decided in whole numbers; of a pair of blocks (own is false) only across them."""
     sizes = np.array([len(s) for s in sets], np.float64)
     shared = shared_counts(sets)
-    near = shared * (1 + threshold) >= threshold * (sizes[:, None] + sizes[None, :]) - 1e-6
+    part = Fraction(threshold).limit_denominator(1_000_000)
+    near = shared * (part.numerator + part.denominator) >= part.numerator * (sizes[:, None] + sizes[None, :])
     np.fill_diagonal(near, False)
     return near if own else near & (block[:, None] != block[None, :])
 

@@ -13,10 +13,11 @@ from tracecut.llm.common import check_names, table, written
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
 #: Levels of the tree; what lies below them is one segment.
 DEPTH = 4
-#: A branch stays apart from its siblings from this many pages and this share of its parent's on, if its labels differ by a test of this chi-square.
+#: A branch stays apart from its siblings from this many pages on, if its labels differ by a test of this chi-square.
 SUPPORT = 20
-SHARE = 0.02
 CHI_SQUARE = 3.84
+#: Only sql() knows this: the share of the parent's pages that it wants of a branch as well.
+SHARE = 0.02
 #: Labelled pages that a parent's rate weighs in a template's purity, and the rate of bad ones that rejects a template.
 PRIOR = 10.0
 REJECT = 0.5
@@ -55,7 +56,7 @@ def segments(path: Column) -> Column:
 def templates(paths: DataFrame) -> DataFrame:
     """host, segs, template of distinct (host, segs) with n, labelled and bad counts.
 
-    Level by level, a segment stays as it is if its branch is large and its share of bad pages differs
+    Level by level, a segment stays as it is if its branch has SUPPORT pages and its share of bad pages differs
     from its siblings'; all other branches are merged under a wildcard. Sums go by groups and equi-joins,
     so a host with very many paths is spread over tasks.
     """
@@ -64,12 +65,12 @@ def templates(paths: DataFrame) -> DataFrame:
     for level in range(DEPTH + 1):
         here = tree.withColumn("seg", F.col("segs")[level])
         branch = here.groupBy("host", "template", "seg").agg(*sums)
-        node = branch.groupBy("host", "template").agg(*(F.sum(c).alias(f"{c}_all") for c in ("n", "lab", "bad")))
+        node = branch.groupBy("host", "template").agg(*(F.sum(c).alias(f"{c}_all") for c in ("lab", "bad")))
         lab2, bad2 = F.col("lab_all") - F.col("lab"), F.col("bad_all") - F.col("bad")
         p = F.col("bad_all") / F.nullif("lab_all", F.lit(0))
         gap = F.col("bad") / F.nullif("lab", F.lit(0)) - bad2 / F.nullif(lab2, F.lit(0))
         differs = gap * gap > CHI_SQUARE * p * (1 - p) * (1.0 / F.nullif("lab", F.lit(0)) + 1.0 / F.nullif(lab2, F.lit(0)))
-        stays = (F.col("n") >= SUPPORT) & (F.col("n") >= SHARE * F.col("n_all")) & F.coalesce(differs, F.lit(False))
+        stays = (F.col("n") >= SUPPORT) & F.coalesce(differs, F.lit(False))
         named = branch.join(node, ["host", "template"]).filter(stays).select("host", "template", "seg", F.lit(True).alias("stays"))
         name = F.when(F.col("seg") == "", "").when(F.col("stays"), F.concat(F.lit("/"), "seg")).otherwise("/*")
         tree = written(here.join(named, ["host", "template", "seg"], "left").select("host", "segs", F.concat("template", name).alias("template"), "n", "lab", "bad"))

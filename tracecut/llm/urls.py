@@ -11,12 +11,11 @@ from tracecut.llm.common import check_names, table, written
 
 #: (rule, verdict); a rule is a host and the start of a path.
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
-#: Levels of the tree; what lies below them is one segment.
-DEPTH = 4
 #: A branch stays apart from its siblings from this many pages on, if its labels differ by a test of this chi-square.
 SUPPORT = 20
 CHI_SQUARE = 3.84
-#: Only sql() knows this: the share of the parent's pages that it wants of a branch as well.
+#: Only sql() knows these: it ends after so many levels, and wants so large a share of the parent's pages of a branch.
+DEPTH = 4
 SHARE = 0.02
 #: Labelled pages that a parent's rate weighs in a template's purity, and the rate of bad ones that rejects a template.
 PRIOR = 10.0
@@ -47,34 +46,48 @@ def listed(rules, host: Column, path: Column) -> tuple[Column, Column]:
 
 
 def segments(path: Column) -> Column:
-    """The path's segments, DEPTH and one for the rest, empty where it ended; runs of digits, long hexadecimal and long segments generalised."""
+    """All of the path's segments but empty ones at its end; runs of digits, long hexadecimal and long segments generalised."""
     typed = F.regexp_replace(F.regexp_replace(path, "[0-9a-f]{16,}", "<x>"), "[0-9]+", "<n>")
-    parts = F.split(F.regexp_replace(typed, "[^/]{41,}", "<long>"), "/", DEPTH + 2)
-    return F.array(*(F.coalesce(F.get(parts, F.lit(i + 1)), F.lit("")) for i in range(DEPTH + 1)))
+    parts = F.split(F.regexp_replace(F.regexp_replace(typed, "[^/]{41,}", "<long>"), "/+$", ""), "/")
+    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
 
 
 def templates(paths: DataFrame) -> DataFrame:
     """host, segs, template of distinct (host, segs) with n, labelled and bad counts.
 
-    Level by level, a segment stays as it is if its branch has SUPPORT pages and its share of bad pages differs
-    from its siblings'; all other branches are merged under a wildcard. Sums go by groups and equi-joins,
-    so a host with very many paths is spread over tasks.
+    Level by level, down to the deepest path, a segment stays as it is if its branch has SUPPORT pages and
+    its share of bad pages differs from its siblings'; all other branches are merged under a wildcard. Sums
+    go by groups and equi-joins, so a host with very many paths is spread over tasks. A node whose pages
+    are too few, or labelled all alike, can have no branch that stays: its paths are finished at once, with
+    a wildcard for each segment left. Hosts with empty segments inside a path have paths of several nodes
+    come together again, so theirs are all walked to the end.
     """
     sums = [F.sum(c).alias(c) for c in ("n", "lab", "bad")]
-    tree = written(paths.withColumn("template", F.lit("")))
-    for level in range(DEPTH + 1):
-        here = tree.withColumn("seg", F.col("segs")[level])
+    last, columns = F.size("segs"), ["host", "segs", "template", "n", "lab", "bad"]
+    inner = paths.groupBy("host").agg(F.max(F.array_contains("segs", "")).alias("inner")).filter("inner")
+    tree = written(paths.join(inner, "host", "left").withColumn("inner", F.coalesce("inner", F.lit(False))).withColumn("template", F.lit("")))
+    done, level = [], 0
+    while True:
+        here = tree.withColumn("seg", F.coalesce(F.get("segs", F.lit(level)), F.lit("")))
         branch = here.groupBy("host", "template", "seg").agg(*sums)
-        node = branch.groupBy("host", "template").agg(*(F.sum(c).alias(f"{c}_all") for c in ("lab", "bad")))
+        node = branch.groupBy("host", "template").agg(*(F.sum(c).alias(f"{c}_all") for c in ("n", "lab", "bad")))
         lab2, bad2 = F.col("lab_all") - F.col("lab"), F.col("bad_all") - F.col("bad")
         p = F.col("bad_all") / F.nullif("lab_all", F.lit(0))
         gap = F.col("bad") / F.nullif("lab", F.lit(0)) - bad2 / F.nullif(lab2, F.lit(0))
         differs = gap * gap > CHI_SQUARE * p * (1 - p) * (1.0 / F.nullif("lab", F.lit(0)) + 1.0 / F.nullif(lab2, F.lit(0)))
         stays = (F.col("n") >= SUPPORT) & F.coalesce(differs, F.lit(False))
-        named = branch.join(node, ["host", "template"]).filter(stays).select("host", "template", "seg", F.lit(True).alias("stays"))
+        mixed = node.filter((F.col("n_all") > SUPPORT) & (F.col("bad_all") > 0) & (F.col("bad_all") < F.col("lab_all")))
+        named = branch.join(mixed, ["host", "template"]).select("host", "template", "seg", stays.alias("stays"))
         name = F.when(F.col("seg") == "", "").when(F.col("stays"), F.concat(F.lit("/"), "seg")).otherwise("/*")
-        tree = written(here.join(named, ["host", "template", "seg"], "left").select("host", "segs", F.concat("template", name).alias("template"), "n", "lab", "bad"))
-    return tree
+        rest = F.array_join(F.transform(F.filter(F.slice("segs", level + 1, F.greatest(last, F.lit(1))), lambda s: s != ""), lambda s: F.lit("/*")), "")
+        # a path that ended above stays a sibling once, under the empty segment
+        closed = ~F.col("inner") & (F.col("stays").isNull() | (last <= level))
+        walked = here.join(named, ["host", "template", "seg"], "left")
+        walked = written(walked.select("host", "segs", F.concat("template", F.when(closed, rest).otherwise(name)).alias("template"), "n", "lab", "bad", "inner", closed.alias("closed")))
+        tree, level = walked.filter("NOT closed"), level + 1
+        if tree.filter(last > level).isEmpty():
+            return reduce(DataFrame.unionByName, [*done, walked.select(*columns)])
+        done.append(walked.filter("closed").select(*columns))
 
 
 def judge(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str = "url", label_key: str = "doc_id", label: str = "quality", good: int = 1, rules=RULES) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ WORDS = ("passw", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: Strings that look random and are not secrets: identifiers with fixed dashes, alphabets, placeholders.
+#: What looks random and is no secret, as a whole candidate or from seven characters on a part: identifiers with fixed dashes, alphabets, placeholders.
 ALLOW = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|(?i:abcdefghijklmnop|0123456789abcdef|1234567890|example|placeholder|xxxxxxxx)|=+|-+|_+")
 WINDOW = 20
 #: Bits a character that a window must reach, by the class of its characters.
@@ -26,16 +27,39 @@ LIMITS = {"hex": 3.0, "mixed": 3.6, "letters": 4.1}
 _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
-def entropy_spans(s: str, allow: re.Pattern = ALLOW) -> list[tuple[int, int]]:
+def listed(s: str, allow: re.Pattern = ALLOW) -> list[tuple[int, int]]:
+    """What the allow-list matches in s with seven characters or more; an alphabet goes on as far as each character follows the last."""
+    out = []
+    for m in allow.finditer(s):
+        if len(m[0]) >= 7:
+            end = m.end()
+            while end < len(s) and ord(s[end]) == ord(s[end - 1]) + 1:
+                end += 1
+            out.append((m.start(), end))
+    return out
+
+
+def entropy_spans(s: str, allow: re.Pattern = ALLOW, taken: list[tuple[int, int]] | None = None) -> list[tuple[int, int]]:
+    """Unions of the windows of s whose entropy reaches the limit of their class and that touch neither what is taken nor what the allow-list matches.
+
+    A string that the allow-list matches as a whole has none.
+    """
+    if len(s) < WINDOW or allow.fullmatch(s):
+        return []
+    out, at = [], 0
+    for a, b in [*sorted((taken or []) + listed(s, allow)), (len(s), len(s))]:
+        if a - at >= WINDOW:
+            out += [(at + x, at + y) for x, y in random_stretches(s[at:a])]
+        at = max(at, b)
+    return out
+
+
+def random_stretches(s: str) -> list[tuple[int, int]]:
     """Unions of the windows of s whose entropy reaches the limit of their class.
 
     Counts of characters, and of digits, lower and upper case letters, move by one character in and
     one out. A window without digits is `letters`, one of [0-9a-f] only `hex`, any other `mixed`.
-    A string that the allow-list matches as a whole, or that holds one of its placeholders, has none.
     """
-    n = len(s)
-    if n < WINDOW or allow.fullmatch(s) or any(len(m[0]) >= 7 for m in allow.finditer(s)):
-        return []
     counts: dict[str, int] = {}
     terms, digits, hexes, out = 0.0, 0, 0, []
     for i, c in enumerate(s):
@@ -79,13 +103,22 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
             found += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(w)]
             long.append((at, w))
             at += len(w)
-    base = sorted(found)
+    base: list[tuple[int, int]] = []
+    for a, _, b in sorted(found):
+        if base and a < base[-1][1]:
+            base[-1] = (base[-1][0], max(base[-1][1], b))
+        else:
+            base.append((a, b))
+    ends = [b for _, b in base]
     for at, w in long:
         for m in CANDIDATE.finditer(w):
-            for a, b in entropy_spans(m[0]):
-                a, b = a + at + m.start(), b + at + m.start()
-                if not any(s < b and a < e for s, _, e in base):
-                    found.append((a, 3, b))
+            start, end = at + m.start(), at + m.end()
+            taken = []
+            for i in range(bisect_right(ends, start), len(base)):
+                if base[i][0] >= end:
+                    break
+                taken.append((max(base[i][0] - start, 0), min(base[i][1], end) - start))
+            found += [(start + a, 3, start + b) for a, b in entropy_spans(m[0], taken=taken)]
     return sorted(found)
 
 

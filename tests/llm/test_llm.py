@@ -180,6 +180,17 @@ def test_secrets_beside_others(spark):
         assert secrets.scan(text) == []
 
 
+def test_secrets_upper_hex():
+    """Upper-case hexadecimal keys are found as lower-case ones are; a window of both cases is no hexadecimal."""
+    rng = np.random.default_rng(12)
+    for n in (20, 32, 40):
+        keys = ["".join(rng.choice(list("0123456789ABCDEF"), n)) for _ in range(200)]
+        found = [secrets.random_stretches(k) for k in keys]
+        assert found == [secrets.random_stretches(k.lower()) for k in keys]
+        assert sum(map(bool, found)) >= 190
+    assert secrets.random_stretches("0123456789abcdABCD01") and not secrets.random_stretches("00112233aabbAABBaa01")
+
+
 def test_packing(spark):
     rows = EDGES + [(i, t) for i, t in enumerate(sentences(30, words=400))] + [(70, "<|endoftext|> İ Σ don't 12 \x1c")]
     got = packing.pack(table(spark, rows)).collect()

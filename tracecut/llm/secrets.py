@@ -57,26 +57,29 @@ def entropy_spans(s: str, allow: re.Pattern = ALLOW, taken: list[tuple[int, int]
 def random_stretches(s: str) -> list[tuple[int, int]]:
     """Unions of the windows of s whose entropy reaches the limit of their class.
 
-    Counts of characters, and of digits, lower and upper case letters, move by one character in and
-    one out. A window without digits is `letters`, one of [0-9a-f] only `hex`, any other `mixed`.
+    Counts of characters, of digits, and of hexadecimal letters of each case move by one character in
+    and one out. A window without digits is `letters`, one of [0-9a-f] or of [0-9A-F] only `hex`, any
+    other `mixed`.
     """
     counts: dict[str, int] = {}
-    terms, digits, hexes, out = 0.0, 0, 0, []
+    terms, digits, lower, upper, out = 0.0, 0, 0, 0, []
     for i, c in enumerate(s):
         k = counts.get(c, 0)
         terms += _TERM[k + 1] - _TERM[k]
         counts[c] = k + 1
         digits += "0" <= c <= "9"
-        hexes += "0" <= c <= "9" or "a" <= c <= "f"
+        lower += "a" <= c <= "f"
+        upper += "A" <= c <= "F"
         if i >= WINDOW:
             c = s[i - WINDOW]
             k = counts[c]
             terms += _TERM[k - 1] - _TERM[k]
             counts[c] = k - 1
             digits -= "0" <= c <= "9"
-            hexes -= "0" <= c <= "9" or "a" <= c <= "f"
+            lower -= "a" <= c <= "f"
+            upper -= "A" <= c <= "F"
         if i >= WINDOW - 1:
-            limit = LIMITS["hex" if hexes == WINDOW and digits else "mixed" if digits >= 2 else "letters"]
+            limit = LIMITS["hex" if digits and digits + max(lower, upper) == WINDOW else "mixed" if digits >= 2 else "letters"]
             if math.log2(WINDOW) - terms / WINDOW >= limit:
                 start = i - WINDOW + 1
                 if out and start <= out[-1][1]:

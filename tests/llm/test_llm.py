@@ -218,6 +218,18 @@ def test_toxicity(spark):
     assert sum(got[i] == (i % 3 == 0) for i in got) >= 0.95 * len(got)
 
 
+def test_toxicity_learns_whole_texts(spark):
+    """An expression behind the first 2,000 words (16,000 characters) of the labelled texts is learned."""
+    rng = np.random.default_rng(13)
+    filler = [f"{a}{b}" for a in "bdfgkl" for b in ("an", "er", "os", "il")]
+    long = [" ".join(rng.choice(filler, 5000)) for _ in range(90)]
+    rows = [(i, t + (" zorgle vexnit" * 2 if i % 3 == 0 else "")) for i, t in enumerate(long)]
+    rows += [(100 + i, t + (" zorgle vexnit" if i % 2 else "")) for i, t in enumerate(sentences(40, 14, 40))]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(table(spark, rows).drop("score"), labels).filter("doc_id >= 100").collect()}
+    assert min(got[i] for i in got if i % 2) > max(got[i] for i in got if i % 2 == 0)
+
+
 def test_jaccard(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_TEXTS", 3)
     rng = np.random.default_rng(6)

@@ -17,9 +17,8 @@ from pyspark.sql import types as T
 from tracecut.llm.common import check_names, field, map_columns, table
 
 WORD = re.compile(r"[^\W_]+")
-#: Labelled rows of each class that are drawn for the models, and words taken of one of them.
+#: Labelled rows of each class that are drawn for the models; their texts are learned whole.
 SAMPLE_ROWS = 3_000
-SAMPLE_WORDS = 2_000
 #: Words of a stretch over which log-likelihoods are normalised; stretches overlap by half.
 STRETCH = 12
 #: Log-likelihood ratios move by so much towards 0: lesser differences between the classes are no evidence.
@@ -94,7 +93,7 @@ class Model:
     """
 
     def __init__(self, toxic: list[str], plain: list[str]):
-        both = [without_copies([words_of(t)[:SAMPLE_WORDS] for t in dict.fromkeys(texts)]) for texts in (toxic, plain)]
+        both = [without_copies([words_of(t) for t in dict.fromkeys(texts)]) for texts in (toxic, plain)]
         often = Counter(w for texts in both for words in texts for w in set(words))
         self.ids = {w: i for i, w in enumerate(sorted(w for w, n in often.items() if n > 1), 1)}
         del often
@@ -174,9 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, lea
     rows = labels.filter(F.col(label).isin(0, 1) & learn(F.col(key))).select(key, label).distinct()
     picked = [rows.filter(F.col(label) == c).orderBy(F.xxhash64(key), key).limit(SAMPLE_ROWS) for c in (1, 0)]
     chosen = picked[0].unionByName(picked[1])
-    # about 7 characters a word
-    part = F.substring(text, 1, 8 * SAMPLE_WORDS).alias("__text")
-    got = docs.select(key, part).join(F.broadcast(chosen), key).groupBy(key, label).agg(F.min("__text").alias("t")).orderBy(key, label)
+    got = docs.select(key, F.col(text).alias("__text")).join(F.broadcast(chosen), key).groupBy(key, label).agg(F.min("__text").alias("t")).orderBy(key, label)
     texts: tuple[list, list] = ([], [])
     for r in got.select(label, "t").toLocalIterator():
         texts[r[0]].append(r[1] or "")

@@ -85,6 +85,32 @@ def test_quality_counts(spark):
     assert {r.kept for r in got.filter("doc_id BETWEEN 0 AND 20").collect()} == {True}
 
 
+def many_languages(n, rows):
+    """Texts in n languages, each of its own words and letters, the last ones rarer."""
+    out = []
+    for k in range(n):
+        rng = np.random.default_rng(k)
+        letters = [chr(0x4E00 + 40 * k + i) for i in range(20)]
+        words = ["".join(rng.choice(letters, 4)) for _ in range(30)]
+        out += [(1000 * k + i, " ".join(rng.choice(words, 150)), f"l{k:03d}") for i in range(rows - (k >= 64))]
+    return out
+
+
+def test_quality_of_many_languages(spark):
+    """Clean documents are kept in the 65th language and beyond."""
+    rows = many_languages(67, 4)
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert len(got) == len(rows) and all(r.kept for r in got) and max(r.word_distance for r in got) < 0.3
+
+
+def test_many_languages_are_learned(spark):
+    df = spark.createDataFrame(many_languages(67, 8), "doc_id long, text string, lang string")
+    net = language.fit(df, "text", "lang", language.F.lit(True))
+    assert net.languages == [f"l{k:03d}" for k in range(67)]
+    rare = [r for r in many_languages(67, 8) if r[2] >= "l064"]
+    assert sum(p == r[2] for p, r in zip(net.classify([r[1] for r in rare])[0], rare, strict=True)) > len(rare) / 2
+
+
 def test_leaks(spark):
     items = [(1, "Who sang in the old hall at night. The red bird sang there all night long."), (2, None), (3, "one two three four five six seven eight"), (4, "")]
     clean = sentences(20)

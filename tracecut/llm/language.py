@@ -9,15 +9,16 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tracecut.llm.common import check_names, field, map_columns, table
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 24
-#: Windows that the network learns from, and languages it can tell apart: the most frequent ones.
+#: Windows that the network learns from, and how many of each language at least, however many there are.
 SAMPLE_ROWS = 4_000
-MAX_LANGUAGES = 64
+LEAST_ROWS = 62
 EPOCHS = 6
 #: Windows that pass the network at once.
 CHUNK = 256
@@ -125,27 +126,29 @@ class Network:
 
 
 def fit(docs: DataFrame, text: str, lang: str, learn) -> Network:
-    """A network from SAMPLE_ROWS labelled texts at most, as many of each language, those of smallest hash.
+    """A network of every language, from SAMPLE_ROWS labelled texts or LEAST_ROWS a language, as many of each, those of smallest hash.
 
     Of each text one stretch of WINDOW characters is taken, at a place given by the hash.
     """
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & learn).select(F.col(lang).alias("__lang"), F.col(text).alias("__text"))
-    sizes = rows.groupBy("__lang").count().orderBy(F.desc("count"), "__lang").limit(MAX_LANGUAGES).collect()
+    sizes = rows.groupBy("__lang").count().collect()
     if not sizes:
         return Network([])
-    each = max(1, SAMPLE_ROWS // len(sizes))
+    each = max(LEAST_ROWS, SAMPLE_ROWS // len(sizes))
     # a hash below the language's share keeps about three times the rows needed; the limits are exact
-    share = F.element_at(F.create_map(*(F.lit(v) for r in sizes for v in (r[0], min(1.0, 3 * each / r[1])))), F.col("__lang"))
+    share = docs.sparkSession.createDataFrame([(r[0], min(1.0, 3 * each / r[1])) for r in sizes], "__lang string, __share double")
     h = F.xxhash64("__text")
     uniform = F.pmod(h, F.lit(1 << 30)) / float(1 << 30)
     start = F.pmod(F.shiftright(h, 32), F.greatest(F.length("__text") - WINDOW, F.lit(1))).cast("int") + 1
-    near = rows.filter(uniform < share).select("__lang", h.alias("__hash"), F.col("__text").substr(start, F.lit(WINDOW)).alias("__text"))
+    near = rows.join(F.broadcast(share), "__lang").filter(uniform < F.col("__share")).select("__lang", h.alias("__hash"), F.col("__text").substr(start, F.lit(WINDOW)).alias("__text"))
+    least = Window.partitionBy("__lang").orderBy("__hash", "__text")
+    picked = near.distinct().withColumn("__rank", F.row_number().over(least)).filter(F.col("__rank") <= each)
     x, y, languages = [], [], sorted(r[0] for r in sizes)
-    for k, language in enumerate(languages):
-        for r in near.filter(F.col("__lang") == language).distinct().orderBy("__hash", "__text").limit(each).collect():
-            if LETTER.search(r["__text"]):
-                x.append(windows(r["__text"])[0][0])
-                y.append(k)
+    places = {language: k for k, language in enumerate(languages)}
+    for r in sorted(picked.collect(), key=lambda r: (places[r["__lang"]], r["__rank"])):
+        if LETTER.search(r["__text"]):
+            x.append(windows(r["__text"])[0][0])
+            y.append(places[r["__lang"]])
     net = Network(languages if x else [])
     if x:
         net.train(np.stack(x), np.array(y))

@@ -5,6 +5,8 @@ DataFrame functions only; no Python runs on the executors.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,7 +20,7 @@ CLASSES = (r"\p{Ll}+", r"\p{Lu}+", r"\p{Nd}+", r"[\x20\x09-\x0D]+", r"[.,;:!?'\"
 #: Common words of a language: the COMMON that most of its documents hold twice or more, one in a hundred at least.
 COMMON = 24
 COMMON_SHARE = 0.01
-#: Languages with references: the most frequent ones.
+#: Only sql() knows this: the languages with references, the most frequent ones. Here all have some.
 MAX_LANGUAGES = 64
 #: Distances (0 to 1) above which a document is unlike a language, and the least length for which each counts.
 CLASS_LIMIT, CLASS_CHARS = 0.265, 200
@@ -69,16 +71,16 @@ def counted(docs: DataFrame, key: Column, text: str, lang: str) -> DataFrame:
 
 
 def common_words(docs: DataFrame, text: str, lang: str) -> dict[str, list[str]]:
-    """The common words of each language; at most MAX_LANGUAGES times COMMON reach the driver."""
-    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = {r[0]: r[1] for r in known.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count"), "l").limit(MAX_LANGUAGES).collect()}
+    """The common words of every language; COMMON of each at most reach the driver."""
+    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sizes = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
     if not sizes:
         return {}
-    tokens = known.filter(F.col(lang).isin(*sizes)).select(F.col(lang).alias("lang"), F.sort_array(F.split(F.lower(F.col(text)), r"[^\p{L}\p{Nd}]+")).alias("s"))
+    tokens = known.select("lang", F.sort_array(F.split(F.lower("text"), r"[^\p{L}\p{Nd}]+")).alias("s"))
     s = F.col("s")
     twice = tokens.select("lang", F.explode(F.array_distinct(F.filter(s, lambda x, i: (i > 0) & (F.get(s, i - 1) == x)))).alias("word"))
-    share = F.element_at(F.create_map(*(F.lit(v) for k, n in sizes.items() for v in (k, n * COMMON_SHARE))), F.col("lang"))
-    often = twice.filter("word <> ''").groupBy("lang", "word").count().filter(F.col("count") >= share)
+    share = docs.sparkSession.createDataFrame([(k, n * COMMON_SHARE) for k, n in sizes.items()], "lang string, least double")
+    often = twice.filter("word <> ''").groupBy("lang", "word").count().join(F.broadcast(share), "lang").filter(F.col("count") >= F.col("least"))
     best = Window.partitionBy("lang").orderBy(F.desc("count"), "word")
     out: dict[str, list[str]] = {k: [] for k in sizes}
     for r in often.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= COMMON).orderBy("lang", "rank").collect():
@@ -88,7 +90,7 @@ def common_words(docs: DataFrame, text: str, lang: str) -> dict[str, list[str]]:
 
 def references(features: DataFrame, common: dict[str, list[str]]) -> dict[str, tuple[list[float], list[float]]]:
     """Class and common-word histograms of each language, over all its documents that pass the base rules."""
-    base = features.filter(~F.col("base_failed") & F.col("lang").isin(*common))
+    base = features.filter(~F.col("base_failed") & F.col("lang").isNotNull())
     n = len(CLASSES)
     sums = base.groupBy("lang").agg(F.sum("n_chars").alias("chars"), F.sum("n_tokens").alias("tokens"), *(F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(n)))
     words = base.select("lang", F.explode("common").alias("x")).groupBy("lang", "x.w").agg(F.sum("x.n").alias("n"))
@@ -106,14 +108,19 @@ def shares(counts: list[int], total: int) -> list[float]:
     return [c / total if total else 0.0 for c in [*counts, total - sum(counts)]]
 
 
-def distance(p: Column, q: list[float]) -> Column:
+def constant(value: list, schema: str) -> Column:
+    """A value of any size as one literal, which the optimizer reads once from its JSON."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
+def distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance of an array of shares from a histogram, 0 to 1."""
 
     def term(a: Column, b: Column) -> Column:
         m = (a + b) / 2
         return F.when(a > 0, a * F.log2(a / m)).otherwise(0.0) + F.when(b > 0, b * F.log2(b / m)).otherwise(0.0)
 
-    terms = F.zip_with(p, F.array(*map(F.lit, q)), term)
+    terms = F.zip_with(p, q, term)
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda x, y: x + y) / 2, F.lit(0.0)))
 
 
@@ -136,7 +143,7 @@ def keep_good(docs: DataFrame, columns: list[str], text: str = "text", lang: str
 
 def judged(docs: DataFrame, key: Column, text: str, lang: str) -> DataFrame:
     common = common_words(docs, text, lang)
-    listed = F.array(*(F.lit(w) for w in sorted({w for ws in common.values() for w in ws}))).cast("array<string>")
+    listed = constant(sorted({w for ws in common.values() for w in ws}), "array<string>")
     base = counted(docs, key, text, lang)
     tokens = F.col("tokens")
     found = F.transform(F.array_intersect(tokens, listed), lambda w: F.struct(w.alias("w"), (F.size(tokens) - F.size(F.array_remove(tokens, w))).alias("n")))
@@ -150,16 +157,16 @@ def verdicts(features: DataFrame, common: dict[str, list[str]], refs: dict[str,
     chars, n_tokens = (F.greatest(c, F.lit(1)).cast("double") for c in (F.col("n_chars"), F.col("n_tokens")))
     total = lambda xs: F.aggregate(xs, F.lit(0), lambda x, y: x + y)
     df = features.withColumn("counts", F.map_from_entries("common")).withColumn("shares", F.transform(F.array_append("classes", F.col("n_chars") - total(F.col("classes"))), lambda x: x / chars))
-    each = []
-    for i, (language, (classes, words)) in enumerate(refs.items()):
-        listed = F.array(*map(F.lit, common[language])).cast("array<string>")
-        df = df.withColumn(f"own{i}", F.transform(listed, lambda w: F.coalesce(F.try_element_at("counts", w), F.lit(0))))
-        own = F.array_append(f"own{i}", F.col("n_tokens") - total(F.col(f"own{i}")))
-        by_word = distance(F.transform(own, lambda x: x / n_tokens), words)
-        each.append(F.struct(distance(F.col("shares"), classes).alias("c"), by_word.alias("w")))
-    if not each:
+    if not refs:
         return df.select(*out, (~F.col("base_failed")).alias("kept"), F.lit(None).cast("double").alias("class_distance"), F.lit(None).cast("double").alias("word_distance"))
-    df = df.withColumn("near", F.array(*each))
+    known = constant([{"listed": common[k], "classes": c, "words": w} for k, (c, w) in refs.items()], "array<struct<listed:array<string>,classes:array<double>,words:array<double>>>")
+    df = df.withColumn("own", F.transform(known, lambda r: F.transform(r["listed"], lambda w: F.coalesce(F.try_element_at("counts", w), F.lit(0)))))
+
+    def apart(r: Column, own: Column) -> Column:
+        by_word = distance(F.transform(F.array_append(own, F.col("n_tokens") - total(own)), lambda x: x / n_tokens), r["words"])
+        return F.struct(distance(F.col("shares"), r["classes"]).alias("c"), by_word.alias("w"))
+
+    df = df.withColumn("near", F.zip_with(known, "own", apart))
     fits = F.exists("near", lambda x: ((F.col("n_chars") < CLASS_CHARS) | (x["c"] <= CLASS_LIMIT)) & ((F.col("n_tokens") < WORD_WORDS) | (x["w"] <= WORD_LIMIT)))
     least = [F.round(F.array_min(F.col(f"near.{n}")), 6).alias(name) for n, name in (("c", "class_distance"), ("w", "word_distance"))]
     return df.select(*out, (~F.col("base_failed") & fits).alias("kept"), *least)

@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: a MinHash LSH forest finds candidates, exact shingle sets decide."""
+"""N-gram Jaccard join: MinHash bands of a fixed depth, in place of an LSH forest, find candidates, exact shingle sets decide."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ from tracecut.llm.components import components
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORDS = 5
 THRESHOLD = 0.8
-#: Trees of the forest, the longest prefix of a signature, and the share of links at the threshold that candidates must hold.
+#: Bands (trees), the most values of one, and the share of links at the threshold that candidates must hold.
 TREES = 32
 LONGEST = 8
 RECALL = 0.99999
@@ -34,7 +34,7 @@ MASK = 2**64 - 1
 
 
 def depth(threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> int:
-    """The matched prefix, shortened from LONGEST until a pair at the threshold meets in some tree with the target recall."""
+    """The depth of all bands, fixed before any data is seen: LONGEST at most, such that a pair at the threshold meets in some band with the target recall."""
     for d in range(LONGEST, 1, -1):
         if 1 - (1 - threshold**d) ** trees >= recall:
             return d
@@ -79,7 +79,7 @@ def signed(x: int) -> int:
 
 
 def forest_keys(shingles: np.ndarray, trees: int, d: int, a: np.ndarray) -> np.ndarray:
-    """A key for each tree: its number and the first d values of its part of the signature."""
+    """A key for each band: its number and the d values of its part of the signature."""
     least = np.empty(trees * d, np.uint64)
     step = max(1, 200_000 // max(1, len(shingles)))
     for i in range(0, trees * d, step):
@@ -234,8 +234,8 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     threshold. n_links counts the other documents linked with a document, copies included; class_id is
     the least key of all that links connect; copy_id that of the documents with the same set.
 
-    Copies are one class first. The forest's keys are prefixes of the signature, one a tree, as long
-    as the target recall allows; equal keys hang a class on the least one of its bucket, and what is
+    Copies are one class first. Keys are bands of the signature, all of one depth, as long as the
+    target recall allows; equal keys hang a class on the least one of its bucket, and what is
     connected so is verified exactly: every pair within it, by tasks of bounded blocks that emit
     counts and a spanning forest, not pairs. Null and empty texts, and others without words, have no
     links and no class but their own key; texts of fewer words than a shingle are one shingle. Null

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -23,20 +24,47 @@ END_ID = 1
 STEP = 8
 #: The program ends when its value is within this share of a lower bound.
 GAP = 5e-4
-#: Documents are ranked within so many buckets first, and then across them.
+#: Rests are ranked within so many buckets of their size class first, and then across them: the counts of the buckets, 8 bytes each, are summed on the driver.
 BUCKETS = 512
 #: Distinct words whose ids a task keeps.
 CACHE = 600_000
+#: Words that are encoded as one text.
+JOINED = 200
 #: Characters at which Python's white space and the tokenizer's differ, and the start of its special strings.
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+TAIL = ".,;:!?()[]\"%"
+#: Above this letters may be other than letters to the tokenizer, or are so once it has normalized them; one below is, too.
+LETTERS_END, DOTTED_I = "\u0530", "\u0130"
+#: How a tokenizer whose words can be encoded apart normalizes and splits a text.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+class Known(dict):
+    """Ids of words; those that it doesn't keep are looked up in `fresh`."""
+
+    fresh: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        return self.fresh[word]
 
 
 class WordEncoder:
-    """Ids of texts, as little-endian unsigned 32-bit bytes, by a tokenizer that drops white space and merges nothing across it.
+    """Ids of texts, as little-endian unsigned 32-bit bytes.
 
-    A text's ids are so those of its words, and each distinct word is encoded once as long as there is
-    room to keep it; the frequent ones come first. Texts with special strings, or with characters that
-    only Python takes for white space, are encoded whole.
+    Where the tokenizer drops white space and merges nothing across it, as its file tells, a text's ids
+    are those of its words, and each distinct word is encoded once as long as there is room to keep it;
+    the frequent ones come first. Texts with special strings, or with characters that only Python takes
+    for white space, are encoded whole, and so are all texts by any other tokenizer.
     """
 
     def __init__(self, path: str):
@@ -44,21 +72,68 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.by_word = (spec["normalizer"], spec["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER) and bool(suffix) and all("<|" in x["content"] for x in spec["added_tokens"])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for w, i in vocabulary.items() if suffix and w.endswith(suffix)]] = True
+        self.known, self.tails = Known(), Known()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only. Each is one pre-token, whose last id alone ends a word, so many go as one text."""
+        out = []
+        parts = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast([" ".join(x) for x in parts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            cut = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(cut) != len(part):
+                out += self.encode(part)
+                continue
+            raw, at = ids.tobytes(), 0
+            for end in cut.tolist():
+                out.append(raw[at:end])
+                at = end
+        return out
+
+    def fresh(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that aren't known; letters with marks behind them are the letters' ids and the marks'."""
+        stems, tails, plain, ends, rest = [], [], [], [], []
+        for w in words:
+            stem = w.rstrip(TAIL)
+            if not stem.isalpha() or stem[-1] >= LETTERS_END or stem[-1] == DOTTED_I:
+                rest.append(w)
+            elif len(stem) == len(w):
+                plain.append(w)
+            else:
+                stems.append(w)
+                tails.append(w[len(stem) :])
+                ends.append(stem)
+        new = list(set(tails).difference(self.tails))
+        self.tails.update(zip(new, self.encode(new), strict=True))
+        out = dict(zip(plain, self.letters(plain), strict=True))
+        need = list({s for s in ends if s not in out and s not in self.known})
+        own = dict(zip(need, self.letters(need), strict=True))
+        for w, tail, stem in zip(stems, tails, ends, strict=True):
+            ids = own.get(stem) or out.get(stem) or self.known[stem]
+            out[w] = ids + self.tails[tail]
+        out.update(zip(rest, self.encode(rest), strict=True))
+        return out
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        words = [None if t and any(x in t for x in ODD) else (t or "").split() for t in texts]
-        new = list(set().union(*(ws for ws in words if ws)).difference(self.known))
-        table, found = self.known, dict(zip(new, self.encode(new), strict=True))
-        if len(table) < CACHE:
-            table.update(found)
-        else:
-            table = {w: table[w] for ws in words if ws for w in ws if w in table} | found
+        known = self.known
+        words = [None if t and (not self.by_word or any(x in t for x in ODD)) else (t or "").split() for t in texts]
+        found = self.fresh(list(set().union(*(ws for ws in words if ws)).difference(known)))
+        if len(known) < CACHE:
+            known.update(found)
+        if len(self.tails) > CACHE:
+            self.tails = Known()
+        known.fresh = found
         end = array("I", [END_ID]).tobytes()
-        return [(self.encode([t])[0] if ws is None else b"".join(map(table.__getitem__, ws))) + end for t, ws in zip(texts, words, strict=True)]
+        return [(self.encode([t])[0] if ws is None else b"".join(map(known.__getitem__, ws))) + end for t, ws in zip(texts, words, strict=True)]
 
 
 #: A worker process keeps its encoders from task to task.
@@ -147,13 +222,14 @@ def patterns(sizes: np.ndarray, demand: np.ndarray, room: int, rounds: int = 300
     return out
 
 
-def slots(sizes: np.ndarray, packed: list[tuple[np.ndarray, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(size class, first rank, pieces a sequence, first sequence, position) of each pattern's share of a class."""
+def slots(sizes: np.ndarray, packed: list[tuple[np.ndarray, int]]) -> list[tuple[int, int, int, int, int, int]]:
+    """(size class, first rank and the one behind the last, pieces a sequence, first sequence, position) of each pattern's share of a class."""
     out, rank, sequence = [], np.zeros(len(sizes), np.int64), 0
     for own, n in packed:
         for position, k in enumerate(np.flatnonzero(own)):
-            out.append((int(sizes[k]), int(rank[k]), int(own[k]), sequence, position))
+            start = int(rank[k])
             rank[k] += int(own[k]) * n
+            out.append((int(sizes[k]), start, int(rank[k]), int(own[k]), sequence, position))
         sequence += n
     return out
 
@@ -182,10 +258,12 @@ def pieces_of(docs: DataFrame, key: str, text: str, path: str, length: int) -> D
     return map_columns(docs.select(key, text), make, schema)
 
 
-def first_ranks(df: DataFrame, by: list[str]) -> DataFrame:
-    """Of each bucket the rows in the buckets before it, per group of `by`: BUCKETS rows a group at most."""
-    before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return df.groupBy(*by, "bucket").count().select(*by, "bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
+def ranked_buckets(spark: SparkSession, rests: DataFrame) -> tuple[dict[int, int], DataFrame]:
+    """Pieces of each size class, and of each bucket of one how many come before it there: BUCKETS rows a class, however long the table."""
+    counts = rests.groupBy("size", "bucket").count().toPandas().sort_values(["size", "bucket"])
+    each = counts.groupby("size")["count"]
+    first = counts.assign(first=each.cumsum() - counts["count"])[["size", "bucket", "first"]]
+    return {int(k): int(n) for k, n in each.sum().items()}, spark.createDataFrame(first, "size int, bucket int, first long")
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str | None = None, length: int = LENGTH, step: int = STEP) -> DataFrame:
@@ -195,7 +273,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: st
     and a rest. A rest whose length is a power of two is a sequence by itself, as it needs no padding;
     the others are packed by patterns from a linear program over the histogram of their lengths in
     classes of `step` tokens. Within a class documents are ranked by bucket, and a rank's slot gives
-    the sequence. Null and empty texts are the end id alone; rows with equal or null keys are packed
+    the sequence. Packed sequences are numbered from 0 without gaps, those of one piece behind them with gaps. Null and empty texts are the end id alone; rows with equal or null keys are packed
     each for itself; an empty table gives an empty one.
     """
     check_names(key, ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
@@ -208,15 +286,13 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: st
     alone = F.coalesce(F.array_contains(F.array(*(F.lit(x) for x in lone_lengths(length))).cast("array<bigint>"), tail), F.lit(False))
     rests = ready.filter((tail > 0) & ~alone).select("key", "n", "bucket", F.col("rest").alias("crc"), tail.alias("length"))
     rests = rests.withColumn("size", F.least(F.ceil(F.col("length") / step), F.lit(length // step)).cast("int"))
-    histogram = {r[0]: r[1] for r in rests.groupBy("size").count().collect()}
+    histogram, firsts = ranked_buckets(spark, rests)
     sizes = np.array(sorted(histogram), np.int64)
     packed = patterns(sizes, np.array([histogram[s] for s in sizes], np.float64), length // step)
-    plan = spark.createDataFrame(slots(sizes, packed), "size int, from_rank long, per_sequence int, first_sequence long, position int")
-    ranges = Window.partitionBy("size").orderBy("from_rank")
-    plan = plan.withColumn("to_rank", F.coalesce(F.lead("from_rank").over(ranges), F.lit(2**62)))
+    plan = spark.createDataFrame(slots(sizes, packed), "size int, from_rank long, to_rank long, per_sequence int, first_sequence long, position int")
 
     own = Window.partitionBy("size", "bucket").orderBy("n", "key", "crc")
-    ranked = rests.withColumn("rank", F.row_number().over(own) - 1).join(F.broadcast(first_ranks(rests, ["size"])), ["size", "bucket"])
+    ranked = rests.withColumn("rank", F.row_number().over(own) - 1).join(F.broadcast(firsts), ["size", "bucket"])
     rank = F.col("rank") + F.col("first")
     placed = ranked.withColumn("rank", rank).join(F.broadcast(plan), "size").filter("rank >= from_rank AND rank < to_rank")
     nth = F.col("rank") - F.col("from_rank")
@@ -225,11 +301,10 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: st
     tails = placed.select("key", (F.col("n") - F.col("length")).alias("start"), "length", "crc", "n", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
 
     cut = F.when((tail > 0) & alone, F.array_append("full", F.col("rest"))).otherwise(F.col("full"))
-    whole = ready.select("key", "n", "bucket", F.posexplode(cut).alias("i", "crc")).withColumn("start", F.col("i").cast("long") * length)
-    order = Window.partitionBy("bucket").orderBy("n", "key", "i", "crc")
-    whole = whole.withColumn("rank", F.row_number().over(order) - 1).join(F.broadcast(first_ranks(whole, [])), "bucket")
-    used = sum(n for _, n in packed)
-    whole = whole.select("key", "start", F.least(F.col("n") - F.col("start"), F.lit(length)).alias("length"), "crc", "n", (F.col("rank") + F.col("first") + used).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    whole = ready.select("key", "n", F.posexplode(cut).alias("i", "crc")).withColumn("start", F.col("i").cast("long") * length)
+    # these need no rank: their ids only have to differ, and the written table's rows keep their places
+    own_id = F.monotonically_increasing_id() + sum(n for _, n in packed)
+    whole = whole.select("key", "start", F.least(F.col("n") - F.col("start"), F.lit(length)).alias("length"), "crc", "n", own_id.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     out = tails.unionByName(whole)
     return out.select(F.col("key").alias(key), "start", "length", F.col("crc").alias("ids_crc32"), F.col("n").alias("doc_tokens"), "sequence_id", "offset")
 

@@ -34,7 +34,7 @@ def words_of(text: Column) -> Column:
 
 def repeated_words(words: Column, grams: Column) -> Column:
     """Words in three-word windows that a text holds twice or more; windows are equal by a 64-bit hash of their words."""
-    tagged = F.array_sort(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+    tagged = F.sort_array(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
     return F.when(F.size(F.array_distinct(grams)) == F.size(grams), F.array().cast("array<struct<g:bigint,i:int>>")).otherwise(tagged)
 
 
@@ -141,14 +141,23 @@ def keep_good(docs: DataFrame, columns: list[str], text: str = "text", lang: str
     return judged(docs, F.struct(*columns), text, lang).filter("kept").select("key.*")
 
 
+def word_counts(words: Column) -> Column:
+    """Each word of a sorted array and how often it is there: the places where the word changes, and the distances between them."""
+    n = F.size(words)
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)))
+    ends = F.array_append(F.slice(starts, F.lit(2), F.greatest(F.size(starts) - 1, F.lit(0))), n)
+    counts = F.zip_with(starts, ends, lambda a, b: F.struct(F.get(words, a).alias("w"), (b - a).alias("n")))
+    return F.when(n > 0, counts).otherwise(F.array().cast("array<struct<w:string,n:int>>"))
+
+
 def judged(docs: DataFrame, key: Column, text: str, lang: str) -> DataFrame:
     common = common_words(docs, text, lang)
-    listed = constant(sorted({w for ws in common.values() for w in ws}), "array<string>")
+    listed = sorted({w for ws in common.values() for w in ws})
     base = counted(docs, key, text, lang)
-    tokens = F.col("tokens")
-    found = F.transform(F.array_intersect(tokens, listed), lambda w: F.struct(w.alias("w"), (F.size(tokens) - F.size(F.array_remove(tokens, w))).alias("n")))
+    # one pass over the tokens leaves the few that are common somewhere
+    base = base.withColumn("listed", F.sort_array(F.filter("tokens", lambda x: x.isin(*listed))))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    features = written(base.select("*", found.alias("common"), F.size("tokens").alias("n_tokens"), failed.alias("base_failed")).drop("tokens"))
+    features = written(base.select("*", word_counts(F.col("listed")).alias("common"), F.size("tokens").alias("n_tokens"), failed.alias("base_failed")).drop("tokens", "listed"))
     return verdicts(features, common, references(features, common))
 
 

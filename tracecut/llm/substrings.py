@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracecut.llm.common import check_names, field, map_columns, table, written
+from tracecut.llm.common import check_names, field, joined, map_columns, table, written
 from tracecut.llm.suffixes import permuted_common_prefixes, suffix_array
 
 SPAN = 200
@@ -32,6 +32,8 @@ SHARD = 1_500_000
 BROADCAST_ROWS = 6_000_000
 #: Different regions of an anchor that are sorted in one task; the windows of an anchor with more are dealt out by their hash.
 HOT = 20_000
+#: Spans up to which those of all texts are broadcast (16 bytes each, and 40 a text).
+SPANS_ROWS = 300_000
 SEEN = 200_000
 _BASE = 0x9E3779B97F4A7C15
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -176,7 +178,7 @@ def regions(texts: DataFrame, known) -> DataFrame:
 
 
 def sorted_regions(raws: DataFrame) -> DataFrame:
-    """anchor, region, spans: rows of an anchor follow each other; anchors fill a shard until it is large enough."""
+    """anchor, region, spans: a row a region, those of an anchor after each other; anchors fill a shard until it is large enough."""
     schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("region", T.BinaryType()), T.StructField("spans", SPANS)])
     target = pa.schema([("anchor", pa.int64()), ("region", pa.binary()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))])
 
@@ -187,24 +189,23 @@ def sorted_regions(raws: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard: list[tuple] = []
-        group: dict[bytes, tuple] = {}
+        group: list[tuple] = []
         size, last = 0, None
 
         def closed():
             # the only region of its anchor occurs more than once, as the anchor does
-            return [(*r[:3], 2) for r in group.values()] if len(group) == 1 else list(group.values())
+            return [(*r[:3], 2) for r in group] if len(group) == 1 else group
 
         for batch in batches:
             for anchor, region, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if anchor != last:
                     shard += closed()
-                    group, last = {}, anchor
+                    group, last = [], anchor
                     if size >= SHARD:
                         yield judge(shard)
                         shard, size = [], 0
-                if region not in group:
-                    group[region] = (anchor, region, raw, n)
-                    size += len(raw)
+                group.append((anchor, region, raw, n))
+                size += len(raw)
         shard += closed()
         if shard:
             yield judge(shard)
@@ -227,7 +228,7 @@ def hashed_windows(raws: DataFrame) -> DataFrame:
 
         return step
 
-    each = map_columns(raws.dropDuplicates(["anchor", "region"]).select("anchor", "region", "n", "raw"), make, schema)
+    each = map_columns(raws.select("anchor", "region", "n", "raw"), make, schema)
     twice = each.groupBy("window").agg(F.sum("n").alias("total")).filter("total > 1").select("window")
     hits = each.join(twice, "window").groupBy("anchor", "region", "at").agg(F.lit(1).alias("one"))
     span = F.struct(F.col("at").alias("a"), (F.col("at") + SPAN).alias("b"))
@@ -246,18 +247,19 @@ def repeats(docs: DataFrame, text: str) -> DataFrame:
         found = regions(texts.join(own, "text_key").select("text", "text_key", "anchors"), None)
     found = written(found)
     places = written(found.groupBy("text_key", "start", "anchor", "region").agg(F.count(F.lit(1)).alias("n")))
-    counts = places.groupBy("anchor", "region").agg(F.sum("n").alias("n"))
-    kinds = counts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n_all"))
-    hot = written(kinds.filter(F.col("kinds") > HOT).select("anchor"))
-    raws = found.filter("raw IS NOT NULL").select("anchor", "region", "raw").join(counts, ["anchor", "region"])
+    # a region's bytes come once a task that has it, and leave this once
+    each = written(found.groupBy("anchor", "region").agg(F.count(F.lit(1)).alias("n"), F.first("raw", ignorenulls=True).alias("raw")))
+    hot = written(each.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > HOT).select("anchor"))
     if hot.isEmpty():
-        spans = sorted_regions(raws.repartition("anchor").sortWithinPartitions("anchor"))
+        spans = sorted_regions(each.repartition("anchor").sortWithinPartitions("anchor", "region"))
     else:
-        cool = raws.join(F.broadcast(hot), "anchor", "left_anti")
-        spans = sorted_regions(cool.repartition("anchor").sortWithinPartitions("anchor")).unionByName(hashed_windows(raws.join(F.broadcast(hot), "anchor", "left_semi")))
+        # fewer than a HOT-th of all different regions
+        few = hot.count() <= BROADCAST_ROWS
+        cool, rest = (each.join(F.broadcast(hot) if few else hot, "anchor", how) for how in ("left_anti", "left_semi"))
+        spans = sorted_regions(cool.repartition("anchor").sortWithinPartitions("anchor", "region")).unionByName(hashed_windows(rest))
     spans = written(spans)
-    each = places.join(spans, ["anchor", "region"]).select("text_key", F.transform("spans", lambda x: F.struct((x["a"] + F.col("start")).alias("a"), (x["b"] + F.col("start")).alias("b"))).alias("spans"))
-    return each.groupBy("text_key").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    own = joined(places, spans.select("region", "spans"), "region").select("text_key", F.transform("spans", lambda x: F.struct((x["a"] + F.col("start")).alias("a"), (x["b"] + F.col("start")).alias("b"))).alias("spans"))
+    return own.groupBy("text_key").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep_bytes: bool = False) -> DataFrame:
@@ -271,7 +273,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", kee
     check_names(key, ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
     spans = written(repeats(docs, text))
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"), F.unhex(F.md5(F.col(text))).alias("text_key"))
-    rows = rows.join(spans, "text_key", "left").select("__key", "__text", "spans")
+    # spans are a list a text, so it is their number that tells whether they may be broadcast
+    size = spans.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0]
+    rows = joined(rows, spans, "text_key", "left", SPANS_ROWS if size <= SPANS_ROWS else 0).select("__key", "__text", "spans")
     fields = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
     schema = T.StructType([T.StructField(key, field(docs, key).dataType), *fields, T.StructField("kept_sha256", T.StringType()), *([T.StructField("kept", T.BinaryType())] if keep_bytes else [])])
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Alphabets above this are ranked by doubling: induced sorting goes bucket by bucket.
+#: Larger alphabets are induced suffix by suffix, smaller ones a bucket at once: the same order, whichever takes fewer steps.
 MAX_ALPHABET = 2_048
 
 
@@ -86,6 +86,37 @@ def induce(s: np.ndarray, k: int, is_s: np.ndarray, lms: np.ndarray) -> np.ndarr
     return sa
 
 
+def induce_each(s: np.ndarray, k: int, is_s: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """The same by single suffixes, in linear time whatever the alphabet."""
+    n = len(s)
+    tails = np.cumsum(np.bincount(s, minlength=k))
+    heads = np.append(0, tails[:-1]).tolist()
+    ends, text, smaller = tails.tolist(), s.tolist(), is_s.tolist()
+    sa = [-1] * n
+    free = list(ends)
+    for i in lms.tolist()[::-1]:
+        c = text[i]
+        free[c] -= 1
+        sa[free[c]] = i
+    # the empty suffix comes first, and before it stands the last one, which is larger
+    c = text[n - 1]
+    sa[heads[c]] = n - 1
+    heads[c] += 1
+    for at in range(n):
+        i = sa[at] - 1
+        if i >= 0 and not smaller[i]:
+            c = text[i]
+            sa[heads[c]] = i
+            heads[c] += 1
+    for at in range(n - 1, -1, -1):
+        i = sa[at] - 1
+        if i >= 0 and smaller[i]:
+            c = text[i]
+            ends[c] -= 1
+            sa[ends[c]] = i
+    return np.array(sa, np.int64)
+
+
 def names(s: np.ndarray, sorted_lms: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, int]:
     """Numbers of the leftmost-smaller substrings, in text order, equal for equal ones, from their sorted order."""
     n, m = len(s), len(lms)
@@ -108,46 +139,27 @@ def names(s: np.ndarray, sorted_lms: np.ndarray, lms: np.ndarray) -> tuple[np.nd
     return out, int(number[-1]) + 1
 
 
-def doubled(s: np.ndarray) -> np.ndarray:
-    """Suffix array by doubling of ranked prefixes."""
-    n = len(s)
-    rank, k = s.astype(np.int64), 1
-    while True:
-        second = np.full(n, 0, np.int64)
-        second[: n - k] = rank[k:] + 1 if k < n else 0
-        key = rank * (int(rank.max()) + 2) + second
-        sa = np.argsort(key, kind="stable")
-        ordered = key[sa]
-        new = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[sa] = new
-        k *= 2
-        if new[-1] == n - 1 or k >= n:
-            return sa
-
-
 def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     """Order of the suffixes of s, whose values are below k.
 
     Leftmost-smaller substrings are sorted by induction, numbered, and the text of their numbers is
-    sorted recursively; its order induces that of all suffixes, in linear time. The text of numbers is
-    doubled instead where its alphabet is too large to go through by buckets.
+    sorted the same way, down to a text without repeated numbers; the order of each text induces that
+    of the one above it, in linear time.
     """
     n = len(s)
     if n < 2:
         return np.arange(n)
-    if k > MAX_ALPHABET:
-        return doubled(s)
+    sort = induce_each if k > MAX_ALPHABET else induce
     is_s = s_types(s)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     if not len(lms):
-        return induce(s, k, is_s, lms)
-    first = induce(s, k, is_s, lms)
+        return sort(s, k, is_s, lms)
+    first = sort(s, k, is_s, lms)
     mark = np.zeros(n, bool)
     mark[lms] = True
     text, m = names(s, first[mark[first]], lms)
     order = np.argsort(text) if m == len(lms) else suffix_array(text, m)
-    return induce(s, k, is_s, lms[order])
+    return sort(s, k, is_s, lms[order])
 
 
 def permuted_common_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:

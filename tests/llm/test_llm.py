@@ -34,25 +34,32 @@ def keyed(df, *columns):
 
 def test_suffix_array_and_prefixes():
     rng = np.random.default_rng(1)
-    for limit in (2, 2048):
-        suffixes.MAX_ALPHABET = limit
-        for _ in range(200):
-            s = rng.integers(1, rng.integers(2, 5), rng.integers(1, 50))
-            b = bytes(s.astype(np.uint8))
-            order = sorted(range(len(b)), key=lambda i: b[i:])
-            assert suffixes.suffix_array(s, 5).tolist() == order
-            common = suffixes.permuted_common_prefixes(s, np.array(order))
-            for x, y in zip(order, order[1:], strict=False):
-                n = next((i for i in range(len(b) - max(x, y)) if b[x + i] != b[y + i]), len(b) - max(x, y))
-                assert common[y] == n
-
-
-@pytest.mark.parametrize("limits", [(20_000, 6_000_000), (1, 0)])
-def test_repeats(spark, monkeypatch, limits):
-    monkeypatch.setattr(substrings, "HOT", limits[0])
-    monkeypatch.setattr(substrings, "BROADCAST_ROWS", limits[1])
-    a, b, c = sentences(3, words=80)
-    rows = EDGES + [(1, a), (2, a), (3, b + " " + a[50:300]), (4, c), (5, "ab" * 200), (6, b[:220] + "Ω"), (7, c[:199])]
+    for _ in range(400):
+        s = rng.integers(1, rng.integers(2, 5), rng.integers(1, 50))
+        b = bytes(s.astype(np.uint8))
+        order = sorted(range(len(b)), key=lambda i: b[i:])
+        assert suffixes.suffix_array(s, 5).tolist() == order
+        common = suffixes.permuted_common_prefixes(s, np.array(order))
+        for x, y in zip(order, order[1:], strict=False):
+            n = next((i for i in range(len(b) - max(x, y)) if b[x + i] != b[y + i]), len(b) - max(x, y))
+            assert common[y] == n
+
+
+def test_suffix_array_of_long_texts_and_large_alphabets():
+    """Suffixes are in order if each is less than the next by its first value and then by the place of what follows it."""
+    rng = np.random.default_rng(2)
+    block = rng.integers(1, 200, 3000)
+    texts = [rng.integers(1, 50_000, 30_000), np.tile(block, 10), np.ones(5000, np.int64), np.concatenate([block, block[::-1], block]), np.arange(1, 9000)]
+    for s in texts:
+        sa = suffixes.suffix_array(s, 50_001)
+        assert sorted(sa.tolist()) == list(range(len(s)))
+        place = np.full(len(s) + 1, -1)
+        place[sa] = np.arange(len(s))
+        assert (np.diff(s[sa] * (len(s) + 2) + place[sa + 1]) > 0).all()
+
+
+def removed(rows):
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 by brute force over all 200-byte strings."""
     raws = [(k, (t or "").encode()) for k, t in rows]
     count = Counter(r[i : i + 200] for _, r in raws for i in range(len(r) - 199))
     want = Counter()
@@ -65,6 +72,26 @@ def test_repeats(spark, monkeypatch, limits):
         gone = np.cumsum(gone)[: len(r)] > 0
         kept = np.frombuffer(r, np.uint8)[~gone].tobytes()
         want[k, len(r), int(gone.sum()), int((np.diff(np.append(0, gone)) == 1).sum()), hashlib.sha256(kept).hexdigest()] += 1
+    return want
+
+
+def test_repeats_of_long_texts(spark):
+    """A text over two part borders, with repeats on them, within it and of another text; joins by shuffle with hot keys."""
+    words = sentences(1, 41, 190_000)[0]
+    half = 1 << 19
+    long = words[: half - 150] + words[1000:1400] + words[half - 150 : 2 * half] + words[5000:5600]
+    rows = [(1, long), (2, "x " + words[half - 300 : half + 100] + " y"), (3, words[1100:1350]), (4, None), (5, words[70_000:70_199])]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(long) > 2 * half and keyed(got, "n_bytes", "n_removed", "n_spans", "kept_sha256") == removed(rows)
+
+
+@pytest.mark.parametrize("limits", [(20_000, 6_000_000), (1, 0)])
+def test_repeats(spark, monkeypatch, limits):
+    monkeypatch.setattr(substrings, "HOT", limits[0])
+    monkeypatch.setattr(substrings, "BROADCAST_ROWS", limits[1])
+    a, b, c = sentences(3, words=80)
+    rows = EDGES + [(1, a), (2, a), (3, b + " " + a[50:300]), (4, c), (5, "ab" * 200), (6, b[:220] + "Ω"), (7, c[:199])]
+    want = removed(rows)
     assert keyed(substrings.remove_repeats(table(spark, rows)), "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
 
 
@@ -244,6 +271,34 @@ def test_toxicity(spark):
     assert sum(got[i] == (i % 3 == 0) for i in got) >= 0.95 * len(got)
 
 
+def test_toxicity_is_a_distribution():
+    """In every context the probabilities of all words sum to 1, in both classes, whatever they were seen to follow."""
+    texts = sentences(120, 21, 80)
+    bad = [t.replace(t.split()[3], "zorgle vexnit") for t in texts[:60]]
+    model = toxicity.Model(bad, texts[60:])
+    size = model.toxic.size
+    assert model.toxic.code.size and model.plain.code.size and model.pooled.code.size
+    for before in range(size):
+        for p in model.probabilities(np.full(size, before), np.arange(size)):
+            assert abs(p.sum() - 1) < 1e-9 and p.min() > 0
+
+
+def test_toxicity_held_out(spark):
+    """Of held-out texts nearly all with an expression of the toxic ones are found, and no others, ordinary ones with an expression that both classes have among them."""
+    rng = np.random.default_rng(31)
+    plain, bad = sentences(600, 32, 120), ["zorgle", "vexnit", "plamfa", "quorbi"]
+    rows = []
+    for i, t in enumerate(plain):
+        words = t.split()
+        for w in rng.choice(bad, 3) if i % 4 == 0 else ["harmless"] * 3:
+            words.insert(int(rng.integers(0, 100)), w)
+        rows.append((i, " ".join(words)))
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), labels).filter("doc_id >= 400").collect()}
+    assert sum(got[i] for i in got if i % 4 == 0) >= 0.95 * 50
+    assert sum(got[i] for i in got if i % 4) <= 0.01 * 150
+
+
 def test_toxicity_learns_whole_texts(spark):
     """An expression behind the first 2,000 words (16,000 characters) of the labelled texts is learned."""
     rng = np.random.default_rng(13)

@@ -22,7 +22,9 @@ SAMPLE_ROWS = 3_000
 #: Words of a stretch over which log-likelihoods are normalised; stretches overlap by half.
 STRETCH = 12
 #: Log-likelihood ratios move by so much towards 0: lesser differences between the classes are no evidence.
-LEAST = 1.2
+LEAST = 0.8
+#: What is taken from each count and given to the shared counts; a count up to this goes there wholly.
+DISCOUNT = 4.0
 PREDICT_AT = 0.7
 MULTIPLIERS = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -32,15 +34,14 @@ def words_of(text: str | None) -> list[str]:
 
 
 def discount(n: np.ndarray) -> np.ndarray:
-    """Grows with the root of a count; a count of 1 goes to the shared counts wholly, for what one text has is no evidence."""
-    return np.minimum(n, np.where(n > 1, 1.5 * np.sqrt(n), n)).astype(np.float64)
+    return np.minimum(n, DISCOUNT).astype(np.float64)
 
 
 class Counts:
     """Discounted word and bigram counts of some texts, given as word ids from 1 on; id 0 is any other word.
 
-    A text counts an expression once, however often it repeats it. Counts of 1 have no weight of
-    their own, so only sums remain of them.
+    A count is of texts: one counts an expression once, however often it repeats it. Counts up to
+    DISCOUNT have no weight of their own, so only sums remain of them.
     """
 
     def __init__(self, texts: list[np.ndarray], size: int):
@@ -55,7 +56,7 @@ class Counts:
         self.context = np.bincount(code // size, n, size)
         self.given = np.bincount(code // size, discount(n), size)
         self.continued = np.bincount(code % size, minlength=size)
-        self.code, self.n = code[n > 1], n[n > 1] - discount(n[n > 1])
+        self.code, self.n = code[n > DISCOUNT], n[n > DISCOUNT] - discount(n[n > DISCOUNT])
 
     def words(self, backoff: np.ndarray) -> np.ndarray:
         return self.uni / self.total + self.kept * backoff
@@ -71,6 +72,13 @@ class Counts:
         return np.where(total > 0, found / safe + self.given[a] / safe * backoff, backoff)
 
 
+    def scaled_sums(self, scale: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Of each context the sum over all words of its probability times the word's scale, if it backs off to words / scale."""
+        rest = np.where(self.context > 0, self.given / np.maximum(self.context, 1), 1.0)
+        before = self.code // self.size
+        return rest * words.sum() + np.bincount(before, self.n / np.maximum(self.context[before], 1) * scale[self.code % self.size], self.size)
+
+
 def without_copies(texts: list[list[str]]) -> list[list[str]]:
     """The texts but for those that share a smallest five-word shingle hash, by one of four hashes, with an earlier one."""
     seen, out = set(), []
@@ -86,10 +94,12 @@ def without_copies(texts: list[list[str]]) -> list[list[str]]:
 class Model:
     """A model of each class, and a calibration of a text's log-likelihood ratios.
 
-    log P(word | word before) of a class: its discounted bigram count backs off to the bigram in both
-    classes, scaled by how much likelier the class has the word itself; that word probability backs
-    off to the continuation counts of both classes, in how many contexts the word was seen at all. So
-    what one class never has is rare there and not impossible, and what is rare in both is no evidence.
+    P(word | word before) of a class: its discounted bigram count backs off to the bigram in both
+    classes, scaled by how much likelier the class has the word itself, and divided by the sum of that
+    over all words; the class's word probability backs off to the continuation counts of both classes,
+    in how many contexts the word was seen at all. So both are distributions over all words in every
+    context, what one class never has is rare there and not impossible, and what is rare in both is no
+    evidence.
     """
 
     def __init__(self, toxic: list[str], plain: list[str]):
@@ -106,6 +116,7 @@ class Model:
         self.toxic, self.plain = (Counts(texts, size) for texts in rest)
         self.shared = (self.pooled.continued + 1.0) / (self.pooled.continued.sum() + size)
         self.words = [c.words(self.shared) for c in (self.toxic, self.plain)]
+        self.sums = [self.pooled.scaled_sums(w / self.shared, w) for w in self.words]
         self.weights = np.array([1.0, 1.0, 0.0])
         y = np.repeat([1.0, 0.0], [len(t) for t in held])
         if y.any() and not y.all():
@@ -115,9 +126,13 @@ class Model:
         """Word ids behind a 0 that stands for the start of a text."""
         return np.fromiter((self.ids.get(w, 0) for w in ["", *words]), np.int64, len(words) + 1)
 
-    def log_ratios(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def probabilities(self, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+        """P(b | a) of the toxic and of the ordinary class."""
         pair = self.pooled.pairs(a, b, self.shared[b]) / self.shared[b]
-        toxic, plain = (c.pairs(a, b, w[b] * pair) for c, w in zip((self.toxic, self.plain), self.words, strict=True))
+        return [c.pairs(a, b, w[b] * pair / total[a]) for c, w, total in zip((self.toxic, self.plain), self.words, self.sums, strict=True)]
+
+    def log_ratios(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        toxic, plain = self.probabilities(a, b)
         r = np.log(toxic / plain)
         r = np.sign(r) * np.maximum(np.abs(r) - LEAST, 0)
         return np.where(b > 0, r, 0.0)

@@ -155,6 +155,87 @@ def test_leaks(spark):
         assert {i for i, _ in index.wand(terms)} == {i for i, x in score.items() if x >= 0.3 - 1e-9}
 
 
+def test_leaks_by_brute_force(spark):
+    """With blocks of few items and postings, exactly the items whose words a passage repeats, reworded a little, are found, as without the screen."""
+    items = [(i, t[:150]) for i, t in enumerate(sentences(80, 22, 40))]
+    clean, rng = sentences(40, 23, 200), np.random.default_rng(24)
+    rows, want = list(EDGES), Counter()
+    for i, t in enumerate(clean):
+        if i % 2:
+            k = int(rng.integers(0, 80))
+            words = items[k][1].split()
+            words[0] = "other"
+            t = t[:300] + " " + (" ".join(words)).upper() + " " + t[300:]
+            want[i, k] += 1
+        rows.append((i, t))
+    index = decontaminate.Index(items)
+    everything = decontaminate.Index(items)
+    everything.windows = lambda ids: np.arange(0, len(ids), everything.longest)
+    for _, t in rows:
+        assert index.search(t).keys() == everything.search(t).keys()
+    old = decontaminate.INDEX_ITEMS, decontaminate.BLOCK
+    try:
+        decontaminate.INDEX_ITEMS, decontaminate.BLOCK = 30, 4
+        tests = spark.createDataFrame(items + [(None, "no key but words enough to be one item of its own")], "item_id long, text string")
+        got = decontaminate.find_leaks(table(spark, rows).drop("score"), tests)
+        assert keyed(got, "item_id") == want
+        kept = decontaminate.without_leaks(table(spark, rows), tests, ["doc_id", "text"])
+        assert Counter(r.doc_id for r in kept.collect()) == Counter(k for k, _ in rows if k not in {d for d, _ in want})
+    finally:
+        decontaminate.INDEX_ITEMS, decontaminate.BLOCK = old
+
+
+def test_empty_tables(spark):
+    """Every operator gives an empty table of its columns for an empty one."""
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    labels, items = spark.createDataFrame([], "doc_id long, toxic int, quality int"), spark.createDataFrame([], "item_id long, text string")
+    made = [
+        substrings.remove_repeats(docs), quality.judge(docs), decontaminate.find_leaks(docs, items), language.identify(docs), urls.judge(docs.selectExpr("doc_id AS page_id", "text AS url"), labels),
+        secrets.find_secrets(docs), packing.pack(docs), toxicity.score_toxicity(docs, labels), jaccard.join_similar(docs), tokens.count_tokens(docs),
+        quality.keep_good(docs, ["doc_id", "text"]), jaccard.one_of_each(docs, ["doc_id", "text"]), decontaminate.without_leaks(docs, items, ["doc_id"][:0] + ["doc_id", "text"]), secrets.redacted(docs, ["doc_id", "text"]),
+    ]
+    assert all(len(df.columns) > 1 and df.count() == 0 for df in made)
+
+
+def test_language_gradients():
+    """Gradients are those of the loss, by small differences."""
+    rng = np.random.default_rng(9)
+    net = language.Network(["a", "b", "c"])
+    x, y = rng.integers(97, 122, (6, language.WINDOW)).astype(np.uint8), rng.integers(0, 3, 6)
+    for group in (net.filters, net.bias):
+        for w in group:
+            group[w] = group[w].astype(np.float64)
+    net.out, net.out_bias = net.out.astype(np.float64), net.out_bias.astype(np.float64)
+    loss = lambda: -net.log_probs(x)[np.arange(6), y].mean()
+    parts = [*net.filters.values(), *net.bias.values(), net.out, net.out_bias]
+    for p, g in zip(parts, net.gradients(x, y), strict=True):
+        for at in [tuple(i[0] for i in np.nonzero(g))] + [tuple(rng.integers(0, n) for n in g.shape) for _ in range(3)]:
+            old = p[at]
+            p[at] = old + 1e-6
+            up = loss()
+            p[at] = old - 1e-6
+            down = loss()
+            p[at] = old
+            assert abs((up - down) / 2e-6 - g[at]) < 1e-5
+
+
+def test_language_held_out(spark):
+    """Nearly all texts of held-out rows are told apart, short, long and with foreign words in them; what is not learned from does not count."""
+    rng = np.random.default_rng(10)
+    stems = {"aa": ["tion", "the", "ing", "ed"], "bb": ["ung", "der", "sch", "ein"], "cc": ["eau", "les", "ou", "aise"], "dd": ["ción", "los", "ez", "ado"]}
+
+    def make(lang, n):
+        other = rng.choice([k for k in stems if k != lang])
+        return " ".join("".join(rng.choice(stems[lang if rng.random() > 0.15 else other], 2)) for _ in range(n))
+
+    rows = [(i, make(lang, int(rng.integers(8, 400))), lang) for i, lang in enumerate(np.repeat(list(stems), 150).tolist())]
+    rows.append((9999, make("aa", 20_000), "aa"))
+    df = spark.createDataFrame([(k, t, lang if k % 4 else "zz") for k, t, lang in rows], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.identify(df, learn=language.F.col("doc_id") % 4 != 0).collect()}
+    assert {r.lang_pred for r in got.values()} <= set(stems) and all(0 <= r.score <= 1 for r in got.values())
+    assert sum(got[k].lang_pred == lang for k, _, lang in rows) >= 0.95 * len(rows)
+
+
 def test_language(spark):
     rng = np.random.default_rng(4)
     make = {"aa": "abcde", "zz": "vwxyz"}
@@ -193,6 +274,61 @@ def test_urls_small_share(spark):
         assert {v for p, (v, _) in got.items() if not p.startswith("/casino/")} == {"allow"}
 
 
+def labelled_pages():
+    """Pages of one host in branches of known rates: two alike bad ones, two alike good ones, one between, and slugs."""
+    rng = np.random.default_rng(17)
+    slug = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    rates = {"ads": 0.9, "spam": 0.92, "blog": 0.05, "docs": 0.03, "forum": 0.4}
+    pages, labels = [(-1, None), (-2, "no scheme"), (-2, "no scheme"), (None, "http://h.test/ads/x")], []
+    for branch, rate in rates.items():
+        for i in range(120):
+            key = len(pages)
+            pages.append((key, f"http://H.test/{branch}/{slug()}" + ("/" if i % 7 == 0 else "") + ("?q=/x" if i % 5 == 0 else "")))
+            if i % 4:
+                labels.append((key, int(rng.random() >= rate)))
+    for i in range(60):
+        key = len(pages)
+        pages.append((key, f"http://other.test/{slug()}/{i}"))
+        labels.append((key, 1))
+    labels += [(5, None), (None, 0), (6, 0), (6, 1)]
+    return pages, labels
+
+
+def test_urls_merge(spark):
+    """Alike branches share a template and its purity, unlike ones don't; the bad ones are blocked, whatever the joins, and SQL agrees."""
+    import duckdb
+
+    pages, labels = labelled_pages()
+    p, marks = spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int")
+    got = urls.judge(p, marks).collect()
+    by = {}
+    for r in got:
+        if r.host == "h.test":
+            by.setdefault(r.path.split("/")[1], set()).add((r.template, r.verdict))
+    assert by == {k: {(t, v)} for k, t, v in (("ads", "/{ads+1}/*", "block"), ("spam", "/{ads+1}/*", "block"), ("blog", "/{blog+1}/*", "allow"), ("docs", "/{blog+1}/*", "allow"), ("forum", by["forum"] and next(iter(by["forum"]))[0], "allow"))}
+    assert {r.verdict for r in got if r.host == "other.test"} == {"allow"}
+    con = duckdb.connect()
+    con.register("pages", p.toPandas())
+    con.execute("CREATE TABLE labels (doc_id BIGINT, quality INT)")
+    con.executemany("INSERT INTO labels VALUES (?, ?)", labels)
+    want = Counter(tuple(r) for r in con.execute(f"SELECT CAST(page_id AS BIGINT), host, path, rule, verdict, template FROM ({urls.sql()})").fetchall())
+    assert Counter((r.page_id, r.host, r.path, r.rule, r.verdict, r.template) for r in got) == want
+
+
+def test_joined_spreads_hot_keys(spark, monkeypatch):
+    """The same rows whether the smaller side is broadcast, dealt out, or dealt out but for hot keys; rows without a key stay in a left join."""
+    from tracecut.llm import common
+
+    many = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 50 + [2] * 3 + [3, 4, None, None])], "k long, i long")
+    few = spark.createDataFrame([(1, "a"), (2, "b"), (5, "c")], "k long, x string")
+    want = {how: Counter(map(tuple, many.join(few, "k", how).collect())) for how in ("inner", "left")}
+    for rows, hot in ((10, 1000), (0, 1000), (0, 5)):
+        monkeypatch.setattr(common, "BROADCAST_ROWS", rows)
+        monkeypatch.setattr(common, "HOT_ROWS", hot)
+        for how in ("inner", "left"):
+            assert Counter(map(tuple, common.joined(many, few, "k", how).collect())) == want[how]
+
+
 def test_urls_deep(spark):
     """A bad branch is told apart at any depth; paths with empty segments and beyond all branches end too."""
     slugs = ["".join(chr(97 + int(c)) for c in f"{i:04d}") for i in range(60)]
@@ -216,6 +352,83 @@ def test_secrets(spark):
     assert "AKIA" not in clean.text and clean.n_chars == len(clean.text)
 
 
+def entropy_of(part):
+    return -sum(n / len(part) * np.log2(n / len(part)) for n in Counter(part).values())
+
+
+def brute_spans(text):
+    """All spans by plain patterns and by the entropy of each window on its own."""
+    kinds = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "AKIA[A-Z0-9]+", "[0-9a-f]+")
+    least = (lambda m: len(m[1]) >= 6, lambda m: len(m[0]) >= 20, lambda m: len(m[0]) >= 24)
+    found = [(m.start(), k, m.end()) for k in range(3) for m in re.finditer(kinds[k], text) if least[k](m)]
+    base = [range(a, b) for a, _, b in found]
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        s, at = m[0], m.start()
+        if secrets.ALLOW.fullmatch(s):
+            continue
+        taken = set()
+        for a, b in secrets.listed(s):
+            taken |= set(range(at + a, at + b))
+        for r in base:
+            taken |= set(r)
+        near, sure = [], []
+        for i in range(at, m.end() - 19):
+            part = text[i : i + 20]
+            if taken & set(range(i, i + 20)):
+                continue
+            digits = sum(c in "0123456789" for c in part)
+            one_case = any(all(c in "0123456789" + letters for c in part) for letters in ("abcdef", "ABCDEF"))
+            kind = "hex" if digits and one_case else "mixed" if digits >= 2 else "letters"
+            over = entropy_of(part) - secrets.LIMITS[kind] + 1e-9
+            if over >= -secrets.SLACK:
+                if not near or near[-1][-1] + 20 <= i:
+                    near.append([])
+                    sure.append(False)
+                near[-1].append(i)
+                sure[-1] |= over >= 0
+        found += [(x[0], 3, x[-1] + 20) for x, yes in zip(near, sure, strict=True) if yes]
+    return sorted(found)
+
+
+def test_secrets_by_brute_force():
+    """Random candidates of all classes, base kinds and allow-listed parts in any order: the same spans as window by window."""
+    rng = np.random.default_rng(18)
+    pick = lambda letters, n: "".join(rng.choice(list(letters), n))
+    parts = [
+        lambda: pick("0123456789abcdef", int(rng.integers(10, 40))), lambda: pick("0123456789ABCDEF", int(rng.integers(10, 40))), lambda: "AKIA" + pick("ABCDEFGHIJ0123456789", int(rng.integers(10, 22))),
+        lambda: pick("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", int(rng.integers(8, 60))), lambda: "password = 'hunter22", lambda: "api_key:" + pick("abc0189", 8), lambda: "Token=abcde",
+        lambda: "123e4567-e89b-12d3-a456-426614174000", lambda: "example", lambda: "abcdefghijklmnopqrstuvwxyz", lambda: "-------", lambda: "the words of a plain text", lambda: "é漢 ", lambda: pick("aeion", 25),
+    ]
+    for _ in range(1500):
+        text = "".join(parts[rng.integers(0, len(parts))]() + str(rng.choice([" ", "/", "-", "\n", '"', "", "_"])) for _ in range(int(rng.integers(1, 9))))
+        assert secrets.scan(text) == brute_spans(text), text
+
+
+def test_secrets_planted(spark):
+    """Keys planted in prose are found whole, and prose, camel case, paths, hashes of dashes and numbers of few digits are left alone."""
+    rng = np.random.default_rng(19)
+    letters = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    prose = sentences(300, 20, 50)
+    keys = ["".join(rng.choice(letters, int(rng.integers(32, 64)))) for _ in prose]
+    planted = [(i, f"{t[:100]} {k} {t[100:]}") for i, (t, k) in enumerate(zip(prose, keys, strict=True))]
+    clean = [(1000 + i, t) for i, t in enumerate(prose)] + [(2000, "getElementsByClassNameAndIdentifier internationalization-of-the-documentation src/main/resources/static/index.html 2024-01-02T10:00:00")]
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(spark.createDataFrame(planted + clean, "doc_id long, text string")).collect()}
+    assert sum(any(s.start <= t.index(k) and s.end >= t.index(k) + len(k) for s in got[i]) for (i, t), k in zip(planted, keys, strict=True)) >= 0.99 * len(keys)
+    assert not any(got[k] for k, _ in clean)
+
+
+def test_secrets_of_long_texts():
+    """Time grows with the text, not with its square: ten times the tokens take less than thirty times as long."""
+    import time
+
+    line, took = "token = abcdef1234567890 0123456789abcdef0123456789abcdef wJalrXUtn9FEMIK7MDENGbPxRfiCYzQ3 ", []
+    for n in (500, 5000):
+        began = time.process_time()
+        assert len(secrets.scan(line * n)) == 3 * n
+        took.append(time.process_time() - began)
+    assert took[1] < 30 * took[0]
+
+
 def test_secrets_beside_others(spark):
     """A key beside a base span or an allow-listed part of its candidate is found, whole; alphabets and identifiers are not."""
     key = "wJalrXUtn9FEMIK7MDENGbPxRfiCYzQ3kT5vHs2L"

@@ -24,6 +24,8 @@ ALLOW = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|(?i:ab
 WINDOW = 20
 #: Bits a character that a window must reach, by the class of its characters.
 LIMITS = {"hex": 3.0, "mixed": 3.6, "letters": 4.1}
+#: Bits less that suffice for a window beside one that reaches its limit: parts of a random string are less random by chance.
+SLACK = 0.5
 _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
@@ -40,7 +42,7 @@ def listed(s: str, allow: re.Pattern = ALLOW) -> list[tuple[int, int]]:
 
 
 def entropy_spans(s: str, allow: re.Pattern = ALLOW, taken: list[tuple[int, int]] | None = None) -> list[tuple[int, int]]:
-    """Unions of the windows of s whose entropy reaches the limit of their class and that touch neither what is taken nor what the allow-list matches.
+    """The random stretches of s that touch neither what is taken nor what the allow-list matches.
 
     A string that the allow-list matches as a whole has none.
     """
@@ -55,7 +57,7 @@ def entropy_spans(s: str, allow: re.Pattern = ALLOW, taken: list[tuple[int, int]
 
 
 def random_stretches(s: str) -> list[tuple[int, int]]:
-    """Unions of the windows of s whose entropy reaches the limit of their class.
+    """Unions of overlapping windows of s whose entropy reaches the limit of their class but for SLACK, if one of them reaches it.
 
     Counts of characters, of digits, and of hexadecimal letters of each case move by one character in
     and one out. A window without digits is `letters`, one of [0-9a-f] or of [0-9A-F] only `hex`, any
@@ -63,6 +65,7 @@ def random_stretches(s: str) -> list[tuple[int, int]]:
     """
     counts: dict[str, int] = {}
     terms, digits, lower, upper, out = 0.0, 0, 0, 0, []
+    sure: list[bool] = []
     for i, c in enumerate(s):
         k = counts.get(c, 0)
         terms += _TERM[k + 1] - _TERM[k]
@@ -79,14 +82,16 @@ def random_stretches(s: str) -> list[tuple[int, int]]:
             lower -= "a" <= c <= "f"
             upper -= "A" <= c <= "F"
         if i >= WINDOW - 1:
-            limit = LIMITS["hex" if digits and digits + max(lower, upper) == WINDOW else "mixed" if digits >= 2 else "letters"]
-            if math.log2(WINDOW) - terms / WINDOW >= limit:
+            over = math.log2(WINDOW) - terms / WINDOW - LIMITS["hex" if digits and digits + max(lower, upper) == WINDOW else "mixed" if digits >= 2 else "letters"]
+            if over >= -SLACK:
                 start = i - WINDOW + 1
-                if out and start <= out[-1][1]:
+                if out and start < out[-1][1]:
                     out[-1] = (out[-1][0], i + 1)
+                    sure[-1] |= over >= 0
                 else:
                     out.append((start, i + 1))
-    return out
+                    sure.append(over >= 0)
+    return [span for span, yes in zip(out, sure, strict=True) if yes]
 
 
 def scan(text: str | None) -> list[tuple[int, int, str]]:

@@ -83,8 +83,8 @@ def _ranges(raw: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return hashes[place[first]].view(np.int64), first + at, last + at
 
 
-def repeated(regions: list[bytes], often: list[bool]) -> list[list[tuple[int, int]]]:
-    """Of each region the unions of windows that also start elsewhere in these regions; all of one that occurs often."""
+def repeated(regions: list[bytes]) -> list[list[tuple[int, int]]]:
+    """Of each region the unions of windows that also start elsewhere in these regions."""
     sizes = np.array([len(r) for r in regions])
     starts = np.concatenate([[0], np.cumsum(sizes + 1)])
     s = np.frombuffer(b"\0".join(regions) + b"\0", np.uint8).astype(np.int64) + 1
@@ -94,13 +94,7 @@ def repeated(regions: list[bytes], often: list[bool]) -> list[list[tuple[int, in
     twice = common >= SPAN
     before = np.flatnonzero(twice[sa[1:]])
     twice[sa[before]] = True
-    out = []
-    for i, always in enumerate(often):
-        if always:
-            out.append([(0, int(sizes[i]))])
-        else:
-            out.append(covered(np.flatnonzero(twice[starts[i] : starts[i + 1]])))
-    return out
+    return [covered(np.flatnonzero(twice[a:b])) for a, b in zip(starts[:-1], starts[1:], strict=True)]
 
 
 def covered(windows: np.ndarray) -> list[tuple[int, int]]:
@@ -182,33 +176,40 @@ def sorted_regions(raws: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("region", T.BinaryType()), T.StructField("spans", SPANS)])
     target = pa.schema([("anchor", pa.int64()), ("region", pa.binary()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))])
 
-    def judge(shard: list[tuple]) -> pa.RecordBatch:
-        spans = repeated([r[2] for r in shard], [r[3] > 1 for r in shard])
-        rows = [(a, h, [{"a": x, "b": y} for x, y in own]) for (a, h, _, _), own in zip(shard, spans, strict=True) if own]
+    def judge(shard: list[tuple], whole: list[tuple]) -> pa.RecordBatch:
+        spans = repeated([r[2] for r in shard]) if shard else []
+        # a region that occurs twice repeats in all its windows
+        rows = [(a, h, [(0, len(raw))] if n > 1 else own) for (a, h, raw, n), own in zip(shard, spans, strict=True) if own or n > 1]
+        rows = [(a, h, [{"a": x, "b": y} for x, y in own]) for a, h, own in rows + whole]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], target[i].type) for i in range(3)], schema=target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard: list[tuple] = []
+        whole: list[tuple] = []
         group: list[tuple] = []
         size, last = 0, None
 
-        def closed():
-            # the only region of its anchor occurs more than once, as the anchor does
-            return [(*r[:3], 2) for r in group] if len(group) == 1 else group
+        def close():
+            nonlocal size
+            if len(group) == 1:
+                # the only region of its anchor occurs more than once, as the anchor does: there is nothing to sort
+                whole.append((group[0][0], group[0][1], [(0, len(group[0][2]))]))
+            else:
+                shard.extend(group)
+                size += sum(len(r[2]) for r in group)
 
         for batch in batches:
             for anchor, region, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if anchor != last:
-                    shard += closed()
+                    close()
                     group, last = [], anchor
-                    if size >= SHARD:
-                        yield judge(shard)
-                        shard, size = [], 0
+                    if size >= SHARD or len(whole) >= SEEN:
+                        yield judge(shard, whole)
+                        shard, whole, size = [], [], 0
                 group.append((anchor, region, raw, n))
-                size += len(raw)
-        shard += closed()
-        if shard:
-            yield judge(shard)
+        close()
+        if shard or whole:
+            yield judge(shard, whole)
 
     return raws.select("anchor", "region", "n", "raw").mapInArrow(run, schema)
 

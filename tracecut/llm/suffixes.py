@@ -4,10 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Larger alphabets are induced suffix by suffix, smaller ones a bucket at once: the same order, whichever takes fewer steps.
-MAX_ALPHABET = 2_048
-
-
 def s_types(s: np.ndarray) -> np.ndarray:
     """Whether each suffix is less than the next one; the last one is not, for the empty suffix is least."""
     n = len(s)
@@ -20,9 +16,8 @@ def s_types(s: np.ndarray) -> np.ndarray:
     return rises[at] > 0
 
 
-def spread(sa: np.ndarray, s: np.ndarray, places: np.ndarray, ends: np.ndarray, down: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Puts suffixes, in order, at the free ends of their buckets; returns their order by bucket and their buckets."""
-    chars = s[places]
+def spread(sa: np.ndarray, chars: np.ndarray, places: np.ndarray, ends: np.ndarray, down: bool) -> None:
+    """Puts suffixes, in order, at the free ends of the buckets of their first characters."""
     order = np.argsort(chars, kind="stable")
     places, chars = places[order], chars[order]
     first = np.flatnonzero(np.append(True, chars[1:] != chars[:-1]))
@@ -34,87 +29,68 @@ def spread(sa: np.ndarray, s: np.ndarray, places: np.ndarray, ends: np.ndarray,
     else:
         sa[ends[chars] + rank] = places
         ends[chars[first]] += counts
-    return places, chars
+
+
+def stretches(sources: np.ndarray, targets: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """Stretches of buckets, in order, that can be gone through at once: no bucket of one gets anything from a bucket of the same one.
+
+    sources and targets: the buckets from which and to which each suffix comes, to the same or a later
+    one. A bucket that gets something from itself is a stretch of its own.
+    """
+    until = np.full(k + 1, k)
+    np.minimum.at(until, sources, targets)
+    until = np.minimum.accumulate(until[::-1])[::-1].tolist()
+    out, c = [], 0
+    while c < k:
+        end = max(until[c], c + 1)
+        out.append((c, end))
+        c = end
+    return out
 
 
 def induce(s: np.ndarray, k: int, is_s: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """All suffixes in the order that sorted leftmost-smaller suffixes induce: larger ones forwards, smaller ones backwards.
 
-    Buckets are taken in turn. What a bucket gets from itself, runs of one character, comes in waves.
+    Buckets are taken in turn, as many at once as get nothing from each other. What a bucket gets from
+    itself, runs of one character, comes in waves. Every suffix is put in its place once a direction, so
+    the time is linear in the text whatever the alphabet.
     """
     n = len(s)
     sa = np.full(n, -1, np.int64)
-    sizes = np.bincount(s, minlength=k)
-    tails = np.cumsum(sizes)
-    heads = tails - sizes
-    start, end = heads.copy(), tails.copy()
-    chars = s[lms]
-    order = np.argsort(chars, kind="stable")
-    by_char = lms[order]
-    cut = np.searchsorted(chars[order], np.arange(k + 1))
-    # the empty suffix comes first, and before it stands the last one, which is larger
-    spread(sa, s, np.array([n - 1]), heads, False)
-    used = np.flatnonzero(sizes)
-    for c in used:
-        done = start[c]
-        while done < heads[c]:
-            wave = sa[done : heads[c]]
-            done = heads[c]
-            before = wave[wave > 0] - 1
-            before = before[~is_s[before]]
-            if len(before):
-                spread(sa, s, before, heads, False)
-        own = by_char[cut[c] : cut[c + 1]]
-        before = own[own > 0] - 1
-        before = before[~is_s[before]]
-        if len(before):
-            spread(sa, s, before, heads, False)
-    for c in used[::-1]:
-        done = end[c]
-        while done > tails[c]:
-            wave = sa[tails[c] : done][::-1]
-            done = tails[c]
-            before = wave[wave > 0] - 1
-            before = before[is_s[before]]
-            if len(before):
-                spread(sa, s, before, tails, True)
-        own = sa[start[c] : heads[c]][::-1]
-        before = own[own > 0] - 1
-        before = before[is_s[before]]
-        if len(before):
-            spread(sa, s, before, tails, True)
-    return sa
+    ends = np.cumsum(np.bincount(s, minlength=k))
+    starts = np.append(0, ends[:-1])
+    heads, tails, bounds = starts.copy(), ends.copy(), np.append(starts, n).tolist()
 
+    def go(found: np.ndarray, smaller: bool) -> None:
+        before = found[found > 0] - 1
+        before = before[is_s[before] == smaller]
+        if len(before):
+            spread(sa, s[before], before, tails if smaller else heads, smaller)
 
-def induce_each(s: np.ndarray, k: int, is_s: np.ndarray, lms: np.ndarray) -> np.ndarray:
-    """The same by single suffixes, in linear time whatever the alphabet."""
-    n = len(s)
-    tails = np.cumsum(np.bincount(s, minlength=k))
-    heads = np.append(0, tails[:-1]).tolist()
-    ends, text, smaller = tails.tolist(), s.tolist(), is_s.tolist()
-    sa = [-1] * n
-    free = list(ends)
-    for i in lms.tolist()[::-1]:
-        c = text[i]
-        free[c] -= 1
-        sa[free[c]] = i
+    if len(lms):
+        spread(sa, s[lms[::-1]], lms[::-1], ends.copy(), True)
     # the empty suffix comes first, and before it stands the last one, which is larger
-    c = text[n - 1]
-    sa[heads[c]] = n - 1
-    heads[c] += 1
-    for at in range(n):
-        i = sa[at] - 1
-        if i >= 0 and not smaller[i]:
-            c = text[i]
-            sa[heads[c]] = i
-            heads[c] += 1
-    for at in range(n - 1, -1, -1):
-        i = sa[at] - 1
-        if i >= 0 and smaller[i]:
-            c = text[i]
-            ends[c] -= 1
-            sa[ends[c]] = i
-    return np.array(sa, np.int64)
+    spread(sa, s[n - 1 :], np.array([n - 1]), heads, False)
+    larger = np.flatnonzero(~is_s[:-1])
+    for c, end in stretches(s[larger + 1], s[larger], k):
+        done, upto = bounds[c], bounds[end]
+        if end == c + 1:
+            while done < heads[c]:
+                wave = sa[done : heads[c]]
+                done = int(heads[c])
+                go(wave, False)
+        go(sa[done:upto], False)
+    sa[(sa >= 0) & is_s[sa]] = -1
+    smaller = np.flatnonzero(is_s)
+    for c, end in stretches(k - 1 - s[smaller + 1], k - 1 - s[smaller], k):
+        start, done = bounds[k - end], bounds[k - c]
+        if end == c + 1:
+            while done > tails[k - end]:
+                wave = sa[tails[k - end] : done][::-1]
+                done = int(tails[k - end])
+                go(wave, True)
+        go(sa[start:done][::-1], True)
+    return sa
 
 
 def names(s: np.ndarray, sorted_lms: np.ndarray, lms: np.ndarray) -> tuple[np.ndarray, int]:
@@ -149,17 +125,16 @@ def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     n = len(s)
     if n < 2:
         return np.arange(n)
-    sort = induce_each if k > MAX_ALPHABET else induce
     is_s = s_types(s)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     if not len(lms):
-        return sort(s, k, is_s, lms)
-    first = sort(s, k, is_s, lms)
+        return induce(s, k, is_s, lms)
+    first = induce(s, k, is_s, lms)
     mark = np.zeros(n, bool)
     mark[lms] = True
     text, m = names(s, first[mark[first]], lms)
     order = np.argsort(text) if m == len(lms) else suffix_array(text, m)
-    return sort(s, k, is_s, lms[order])
+    return induce(s, k, is_s, lms[order])
 
 
 def permuted_common_prefixes(s: np.ndarray, sa: np.ndarray) -> np.ndarray:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracecut.llm.common import check_names, field, map_columns, table
+from tracecut.llm.common import check_names, field, joined, map_columns, table, written
 
 #: Tokens above which a document is over the limit.
 LIMIT = 4096
@@ -22,6 +22,7 @@ LIMIT = 4096
 #: They only spare a shuffle: whichever are taken, every document's sum is the same.
 SAMPLE_DOCS = 6_000
 BROADCAST_ROWS = 200_000
+#: Pre-tokens up to this length are known by themselves, longer ones by their hash, so that what is broadcast has a bound.
 KEY_CHARS = 40
 #: Distinct pre-tokens that a task counts before it hands them on, and texts that it knows as seen.
 FLUSH = 100_000
@@ -83,13 +84,28 @@ def text_key(t: str) -> bytes:
     return xxhash.xxh3_128_digest(t.encode())
 
 
-def frequent(docs: DataFrame, text: str, path: str) -> dict[str, int]:
-    """Pieces of the most frequent pre-tokens of a sample: BROADCAST_ROWS strings of KEY_CHARS characters at most."""
+def short_key(token: str) -> str | bytes:
+    return token if len(token) <= KEY_CHARS else text_key(token)
+
+
+def frequent(docs: DataFrame, text: str, path: str) -> dict[str | bytes, int]:
+    """Pieces by `short_key` of the most frequent pre-tokens of a sample: BROADCAST_ROWS keys of KEY_CHARS characters at most."""
     rows = max(1, docs.count())
     sample = docs.sample(min(1.0, SAMPLE_DOCS / rows), seed=17)
-    top = frequencies(sample, text).filter((F.length("pre_token") <= KEY_CHARS) & (F.col("freq") > 1)).orderBy(F.desc("freq"), "pre_token").limit(BROADCAST_ROWS)
-    tokens = top.select("pre_token").toArrow().column(0).to_pylist()
-    return dict(zip(tokens, PieceCounter(path)(tokens) if tokens else [], strict=True))
+    top = frequencies(sample, text).filter(F.col("freq") > 1).orderBy(F.desc("freq"), F.length("pre_token"), "pre_token").limit(BROADCAST_ROWS)
+    schema = T.StructType([T.StructField("short", T.StringType()), T.StructField("hash", T.BinaryType()), T.StructField("pieces", T.LongType())])
+
+    def make() -> Callable:
+        count = PieceCounter(path)
+
+        def step(tokens):
+            keys = [short_key(t) for t in tokens]
+            return [k if isinstance(k, str) else None for k in keys], [k if isinstance(k, bytes) else None for k in keys], count(tokens)
+
+        return step
+
+    found = map_columns(top.select("pre_token"), make, schema).toArrow()
+    return {short if short is not None else own: n for short, own, n in zip(*(c.to_pylist() for c in found.columns), strict=True)}
 
 
 def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str | None = None, limit: int = LIMIT) -> DataFrame:
@@ -101,7 +117,7 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", model
     sums keyed by the text's hash, so that repeated rows and null keys need no identity. No ids are
     kept. Null and empty texts have 0 bytes and 0 tokens; an empty table gives an empty one.
     """
-    check_names(key, ["n_bytes", "n_tokens", "over_limit"])
+    check_names(key, ["n_bytes", "n_tokens", "over_limit", "known", "text_key", "rare"])
     path = model or public_tokenizers.path("piece_bpe_32k.model")
     known = docs.sparkSession.sparkContext.broadcast(frequent(docs, text, path))
     schema = T.StructType([field(docs, key), T.StructField("n_bytes", T.LongType()), T.StructField("known", T.LongType()), T.StructField("text_key", T.BinaryType())])
@@ -109,12 +125,16 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", model
 
     def sums() -> Callable:
         pieces = known.value
+        long_known = any(isinstance(k, bytes) for k in pieces)
 
         def step(keys, texts):
             n_bytes, n_known, hashes = [], [], []
             for t in texts:
-                found = list(map(pieces.get, pre_tokens(t)))
+                found = list(map(pieces.get, own := pre_tokens(t)))
                 missing = None in found
+                if missing and long_known:
+                    found = [pieces.get(short_key(w)) if n is None and len(w) > KEY_CHARS else n for n, w in zip(found, own, strict=True)]
+                    missing = None in found
                 n_known.append(sum(filter(None, found)) if missing else sum(found))
                 hashes.append(text_key(t) if missing else None)
                 n_bytes.append(len(t.encode()) if t else 0)
@@ -129,7 +149,7 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", model
         def step(texts):
             words, hashes, counts = [], [], []
             for t in texts:
-                own = Counter(w for w in pre_tokens(t) if w not in pieces)
+                own = Counter(w for w in pre_tokens(t) if w not in pieces and (len(w) <= KEY_CHARS or short_key(w) not in pieces))
                 if own and (h := text_key(t)) not in seen:
                     if len(seen) < SEEN:
                         seen.add(h)
@@ -162,10 +182,11 @@ def count_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", model
     rare = map_columns(docs.select(text), others, rest_schema).repartition("pre_token").sortWithinPartitions("pre_token", "text_key")
     found = map_columns(rare, counted, T.StructType([T.StructField("rare_key", T.BinaryType()), T.StructField("rare", T.LongType())]))
     # summed behind the shuffle only: sums in front of it would save less the more tasks there are
-    found = found.repartition("rare_key").groupBy("rare_key").agg(F.sum("rare").alias("rare"))
-    each = map_columns(docs.select(key, text), sums, schema)
+    found = written(found.repartition("rare_key").groupBy("rare_key").agg(F.sum("rare").alias("rare")))
+    each = written(map_columns(docs.select(key, text), sums, schema))
     total = F.col("known") + F.coalesce("rare", F.lit(0))
-    return each.join(found, each.text_key == found.rare_key, "left").select(key, "n_bytes", total.alias("n_tokens"), (total > limit).alias("over_limit"))
+    out = joined(each, found.withColumnRenamed("rare_key", "text_key"), "text_key", "left")
+    return out.select(key, "n_bytes", total.alias("n_tokens"), (total > limit).alias("over_limit"))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -247,7 +247,11 @@ def find_leaks(docs: DataFrame, tests: DataFrame, key: str = "doc_id", text: str
 
 
 def without_leaks(docs: DataFrame, tests: DataFrame, columns: list[str], text: str = "text", item_key: str = "item_id", item_text: str = "text", retrieve: float = RETRIEVE) -> DataFrame:
-    """The documents in which `find_leaks` finds no item, with these columns."""
+    """The documents in which `find_leaks` finds no item, with these columns.
+
+    Null and empty texts hold none and stay; repeated rows stay or go alike; without items all stay, and
+    an empty table gives an empty one.
+    """
     out = docs.select(*columns)
     at = columns.index(text)
     for index in indexes(tests, item_key, item_text, retrieve):

@@ -137,7 +137,11 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 
 def keep_good(docs: DataFrame, columns: list[str], text: str = "text", lang: str = "lang") -> DataFrame:
-    """The documents that `judge` keeps, with these columns."""
+    """The documents that `judge` keeps, with these columns.
+
+    Null and empty texts have too few words and go; repeated rows are judged alike, and each stays that is
+    kept; null keys and languages are kept as they are; an empty table gives an empty one.
+    """
     return judged(docs, F.struct(*columns), text, lang).filter("kept").select("key.*")
 
 

@@ -151,7 +151,11 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """The columns of op6, from the same scan."""
+    """The columns of op6, from the same scan: counts by kind, the base spans' hash, and all spans as text.
+
+    Null and empty texts have no spans, and the hash of nothing; null keys and repeated rows have a row
+    each; an empty table gives an empty one.
+    """
     schema = T.StructType([field(docs, "doc_id")] + [T.StructField(f"n_{k}", T.LongType()) for k in KINDS] + [T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())])
 
     def make() -> Callable:
@@ -167,7 +171,11 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame, key_columns: list[str], text: str = "text") -> DataFrame:
-    """docs with every span of `text` replaced by [kind]; overlapping spans count as one, under the first's kind. n_chars, if there, is the new length."""
+    """docs with every span of `text` replaced by [kind]; overlapping spans count as one, under the first's kind. n_chars, if there, is the new length.
+
+    Null and empty texts stay as they are, and so does n_chars of a text without spans; repeated rows and
+    null keys are kept; an empty table gives an empty one.
+    """
 
     def make() -> Callable:
         def clean(t):

@@ -87,7 +87,7 @@ def repeated(regions: list[bytes]) -> list[list[tuple[int, int]]]:
     """Of each region the unions of windows that also start elsewhere in these regions."""
     sizes = np.array([len(r) for r in regions])
     starts = np.concatenate([[0], np.cumsum(sizes + 1)])
-    s = np.frombuffer(b"\0".join(regions) + b"\0", np.uint8).astype(np.int64) + 1
+    s = np.frombuffer(b"\0".join(regions) + b"\0", np.uint8).astype(np.uint16) + np.uint16(1)
     s[starts[1:] - 1] = 0
     sa = suffix_array(s, 257)
     common = permuted_common_prefixes(s, sa)

@@ -8,7 +8,7 @@ def s_types(s: np.ndarray) -> np.ndarray:
     """Whether each suffix is less than the next one; the last one is not, for the empty suffix is least."""
     n = len(s)
     rises = np.empty(n, np.int8)
-    rises[:-1] = np.sign(s[1:].astype(np.int64) - s[:-1])
+    rises[:-1] = np.sign(s[1:].astype(np.int32) - s[:-1])
     rises[-1] = -1
     # equal neighbours take the type of the next place where the text changes
     at = np.where(rises != 0, np.arange(n), n)
@@ -18,32 +18,36 @@ def s_types(s: np.ndarray) -> np.ndarray:
 
 def spread(sa: np.ndarray, chars: np.ndarray, places: np.ndarray, ends: np.ndarray, down: bool) -> None:
     """Puts suffixes, in order, at the free ends of the buckets of their first characters."""
-    order = np.argsort(chars, kind="stable")
-    places, chars = places[order], chars[order]
-    first = np.flatnonzero(np.append(True, chars[1:] != chars[:-1]))
-    counts = np.diff(np.append(first, len(chars)))
-    rank = np.arange(len(chars)) - np.repeat(first, counts)
+    if len(chars) > 1:
+        order = chars.argsort(kind="stable")
+        places, chars = places[order], chars[order]
+        rank = np.arange(len(chars)) - chars.searchsorted(chars)
+    else:
+        rank = 0
+    # of equal characters the last one's place stays as the new end
     if down:
-        sa[ends[chars] - 1 - rank] = places
-        ends[chars[first]] -= counts
+        at = ends[chars] - 1 - rank
+        sa[at] = places
+        ends[chars] = at
     else:
-        sa[ends[chars] + rank] = places
-        ends[chars[first]] += counts
+        at = ends[chars] + rank
+        sa[at] = places
+        ends[chars] = at + 1
 
 
-def stretches(sources: np.ndarray, targets: np.ndarray, k: int) -> list[tuple[int, int]]:
+def stretches(sources: np.ndarray, targets: np.ndarray, k: int) -> list[tuple[int, int, bool]]:
     """Stretches of buckets, in order, that can be gone through at once: no bucket of one gets anything from a bucket of the same one.
 
     sources and targets: the buckets from which and to which each suffix comes, to the same or a later
-    one. A bucket that gets something from itself is a stretch of its own.
+    one. A bucket that gets something from itself is a stretch of its own; the third value tells.
     """
     until = np.full(k + 1, k)
-    np.minimum.at(until, sources, targets)
+    np.minimum.at(until, sources.astype(np.int64), targets.astype(np.int64))
     until = np.minimum.accumulate(until[::-1])[::-1].tolist()
     out, c = [], 0
     while c < k:
         end = max(until[c], c + 1)
-        out.append((c, end))
+        out.append((c, end, until[c] == c))
         c = end
     return out
 
@@ -56,7 +60,7 @@ def induce(s: np.ndarray, k: int, is_s: np.ndarray, lms: np.ndarray) -> np.ndarr
     the time is linear in the text whatever the alphabet.
     """
     n = len(s)
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     ends = np.cumsum(np.bincount(s, minlength=k))
     starts = np.append(0, ends[:-1])
     heads, tails, bounds = starts.copy(), ends.copy(), np.append(starts, n).tolist()
@@ -72,9 +76,11 @@ def induce(s: np.ndarray, k: int, is_s: np.ndarray, lms: np.ndarray) -> np.ndarr
     # the empty suffix comes first, and before it stands the last one, which is larger
     spread(sa, s[n - 1 :], np.array([n - 1]), heads, False)
     larger = np.flatnonzero(~is_s[:-1])
-    for c, end in stretches(s[larger + 1], s[larger], k):
+    for c, end, to_itself in stretches(s[larger + 1], s[larger], k):
         done, upto = bounds[c], bounds[end]
-        if end == c + 1:
+        if done == upto:
+            continue
+        if to_itself:
             while done < heads[c]:
                 wave = sa[done : heads[c]]
                 done = int(heads[c])
@@ -82,9 +88,11 @@ def induce(s: np.ndarray, k: int, is_s: np.ndarray, lms: np.ndarray) -> np.ndarr
         go(sa[done:upto], False)
     sa[(sa >= 0) & is_s[sa]] = -1
     smaller = np.flatnonzero(is_s)
-    for c, end in stretches(k - 1 - s[smaller + 1], k - 1 - s[smaller], k):
+    for c, end, to_itself in stretches(k - 1 - s[smaller + 1], k - 1 - s[smaller], k):
         start, done = bounds[k - end], bounds[k - c]
-        if end == c + 1:
+        if start == done:
+            continue
+        if to_itself:
             while done > tails[k - end]:
                 wave = sa[tails[k - end] : done][::-1]
                 done = int(tails[k - end])
@@ -125,6 +133,8 @@ def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     n = len(s)
     if n < 2:
         return np.arange(n)
+    # 16 bits are sorted by radix
+    s = s.astype(np.uint16 if k <= 1 << 16 else np.int32, copy=False)
     is_s = s_types(s)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     if not len(lms):

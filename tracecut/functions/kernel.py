@@ -57,6 +57,41 @@ def runs(df: DataFrame, condition: Column) -> DataFrame:
     return kept.groupBy("ep", "island").agg(F.min("f").alias("start"), F.max("f").alias("stop"), F.count(F.lit(1)).alias("n")).drop("island")
 
 
+def with_run_ends(df: DataFrame, **conditions: Column) -> DataFrame:
+    """df with each named condition as a column, null as false, and whether a run of it starts and ends at the frame."""
+    own = df.withColumns({n: F.coalesce(c, F.lit(False)) for n, c in conditions.items()})
+    w, ends = ordered(), {}
+    for n in conditions:
+        ends[f"{n}_first"] = F.col(n) & ~F.lag(n, 1, False).over(w)
+        ends[f"{n}_last"] = F.col(n) & ~F.lead(n, 1, False).over(w)
+    return own.withColumns(ends)
+
+
+def gathered(condition: Column, value: Column) -> Column:
+    """The values of the frames that meet the condition, in order; an aggregate. Values start with the frame."""
+    return F.sort_array(F.collect_list(F.when(condition, value)))
+
+
+def run_list(name: str, k: int = 1) -> Column:
+    """The runs of a condition of `with_run_ends` with k frames or more, as (start, stop), in order; an aggregate."""
+    starts, stops = gathered(F.col(f"{name}_first"), F.col("f")), gathered(F.col(f"{name}_last"), F.col("f"))
+    both = F.zip_with(starts, stops, lambda a, b: F.struct(a.alias("start"), b.alias("stop")))
+    return F.filter(both, lambda r: r["stop"] - r["start"] + 1 >= k) if k > 1 else both
+
+
+def last_run(runs: Column, lo: Column, hi: Column) -> Column:
+    """The last run that reaches lo and starts before hi; null if none."""
+    return F.try_element_at(F.filter(runs, lambda r: (r["stop"] >= lo) & (r["start"] < hi)), F.lit(-1))
+
+
+def first_gap(runs: Column, at: Column, k: int, end: Column) -> Column:
+    """The first frame from `at` on with k frames before `end` that no run holds; null if none."""
+    before = F.concat(F.array(F.lit(-1).cast("long")), F.transform(runs, lambda r: r["stop"]))
+    behind = F.concat(F.transform(runs, lambda r: r["start"]), F.array(end.cast("long")))
+    gaps = F.zip_with(before, behind, lambda a, b: F.struct(F.greatest(a + 1, at).alias("from"), b.alias("to")))
+    return F.array_min(F.transform(F.filter(gaps, lambda g: g["from"] + k <= g["to"]), lambda g: g["from"]))
+
+
 def norm(cs: list[Column]) -> Column:
     total = cs[0] * cs[0]
     for c in cs[1:]:

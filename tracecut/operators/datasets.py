@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tracecut.sources.store import written
+
 
-def numbered(episodes: DataFrame, order: str = "ep") -> DataFrame:
+def numbered(episodes: DataFrame, order: str = "ep", spread: bool = False) -> DataFrame:
     """episodes (ep, length) with new_ep, dense from 0 in order, and base, the frames of all before.
 
-    Episodes are ranked in one task: the table has a row an episode, never one a frame.
+    The table has a row an episode, never one a frame, and is ranked in one task; with `spread` it is
+    dealt out by ranges of the order and ranked in each, behind the totals of the ranges before.
     """
-    w = Window.orderBy(order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    return episodes.withColumn("new_ep", (F.row_number().over(w) - 1).cast("long")).withColumn("base", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    if not spread:
+        w = Window.orderBy(order)
+        before = w.rowsBetween(Window.unboundedPreceding, -1)
+        return episodes.withColumn("new_ep", (F.row_number().over(w) - 1).cast("long")).withColumn("base", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    ranged = written(episodes.repartitionByRange(order).withColumn("__range", F.spark_partition_id()))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("frames"))
+    totals = totals.select("__range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__n"), F.coalesce(F.sum("frames").over(before), F.lit(0)).alias("__frames"))
+    w = Window.partitionBy("__range").orderBy(order)
+    own = ranged.withColumns({"__at": F.row_number().over(w) - 1, "__before": F.coalesce(F.sum("length").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    out = own.join(F.broadcast(totals), "__range")
+    return out.withColumns({"new_ep": (F.col("__n") + F.col("__at")).cast("long"), "base": F.col("__frames") + F.col("__before")}).drop("__range", "__n", "__frames", "__at", "__before")
 
 
 def rekeyed(frames: DataFrame, points: DataFrame, fps: float) -> DataFrame:
@@ -27,6 +41,13 @@ def rekeyed(frames: DataFrame, points: DataFrame, fps: float) -> DataFrame:
     return own.withColumn("timestamp", (F.col("frame_index").cast("double") / fps).cast("float")).withColumn("index", F.col("base") + F.col("frame_index")).drop("base", "length", "trim", "f")
 
 
+def renumbered(frames: DataFrame, ranges: DataFrame, fps: float) -> DataFrame:
+    """Frames of (ep, new_ep, base, start, stop, …) ranges, each an episode of its own: f, frame_index, timestamp (frame/fps as FLOAT) and index over all."""
+    own = segment_frames(frames.drop("timestamp", "frame_index", "index"), ranges)
+    own = own.withColumns({"f": F.col("frame_index"), "index": F.col("base") + F.col("frame_index"), "timestamp": (F.col("frame_index").cast("double") / fps).cast("float")})
+    return own.drop("start", "stop", "base")
+
+
 def without_episodes(frames: DataFrame, excluded: DataFrame) -> DataFrame:
     """Frames of the episodes that are not in `excluded`, with dense new_ep and index; frame numbers and times stay."""
     kept = frames.join(excluded.select("ep").distinct(), "ep", "left_anti")
@@ -68,9 +89,24 @@ def vector_stats(df: DataFrame, keys: list[str], column: str) -> DataFrame:
 
 
 def stats_document(stats: DataFrame, keys: list[str]) -> DataFrame:
-    """Long vector statistics as arrays in order of dim: keys, min, max, mean, std, count."""
-    packed = stats.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("dim", "min", "max", "mean", "std", "count"))).alias("xs"))
-    return packed.select(*keys, *(F.col(f"xs.{n}").alias(n) for n in ("min", "max", "mean", "std", "count")))
+    """Long vector statistics as arrays in order of dim: keys, min, max, mean, std, and count, which is one number for all dimensions."""
+    packed = stats.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("dim", "min", "max", "mean", "std", "count"))).alias("xs"))
+    return packed.select(*keys, *(F.col(f"xs.{n}").alias(n) for n in ("min", "max", "mean", "std")), F.slice("xs.count", 1, 1).alias("count"))
+
+
+def feature_stats(frames: DataFrame, features: dict[str, str]) -> DataFrame:
+    """ep, feature, min, max, mean, std, count of several features, array columns or scalars, in one scan: features has a column's name in the result."""
+    types = dict(frames.dtypes)
+    each = []
+    for column, name in features.items():
+        values = F.col(f"`{column}`").cast("array<double>") if types[column].startswith("array") else F.array(F.col(f"`{column}`").cast("double"))
+        each.append(_entries(values, name))
+    long = frames.select("ep", F.explode(F.concat(*each)).alias("e")).select("ep", "e.*")
+    return stats_document(long.groupBy("ep", "feature", "dim").agg(F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.count("x").alias("count")), ["ep", "feature"])
+
+
+def _entries(values: Column, name: str) -> Column:
+    return F.transform(values, lambda x, i: F.struct(F.lit(name).alias("feature"), i.alias("dim"), x.alias("x")))
 
 
 def sample_count(n: Column) -> Column:
@@ -79,10 +115,11 @@ def sample_count(n: Column) -> Column:
 
 
 def overridden(points: DataFrame, overrides: DataFrame) -> DataFrame:
-    """points with trim replaced by the override's, and problem: `missing` without one, `out of range` unless 0 <= trim < length; other overrides are ignored."""
-    own = points.drop("trim").join(overrides.select("ep", "trim"), "ep", "left")
-    problem = F.when(F.col("trim").isNull(), "missing").when((F.col("trim") < 0) | (F.col("trim") >= F.col("length")), "out of range")
-    return own.withColumn("problem", problem)
+    """points with trim replaced by the override's, and problem: `missing` without one, `duplicate` with several, `out of range` unless 0 <= trim < length; overrides of other episodes are ignored."""
+    given = overrides.groupBy("ep").agg(F.min("trim").alias("trim"), F.count(F.lit(1)).alias("__n"))
+    own = points.drop("trim").join(given, "ep", "left")
+    problem = F.when(F.col("__n") > 1, "duplicate").when(F.col("trim").isNull(), "missing").when((F.col("trim") < 0) | (F.col("trim") >= F.col("length")), "out of range")
+    return own.withColumn("problem", problem).drop("__n")
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
@@ -106,13 +143,13 @@ def labelled(intervals: DataFrame, spec: DataFrame) -> DataFrame:
     return own.withColumn("problem", F.when(F.col("description").isNull(), "missing").when(F.col("description") != F.col("subtask"), "text"))
 
 
-def changed_cuts(old: DataFrame, new: DataFrame, names: list[str]) -> DataFrame:
-    """Episodes of which a cut's frame differs."""
-    differ = None
-    for n in names:
-        d = ~F.col(f"old.{n}").eqNullSafe(F.col(f"new.{n}"))
-        differ = d if differ is None else differ | d
-    return old.alias("old").join(new.alias("new"), F.col("old.ep") == F.col("new.ep")).filter(differ).select(F.col("new.ep").alias("ep"))
+def changed_cuts(old: DataFrame, new: DataFrame, names: list[str], times: list[str] | None = None, atol: float = 1e-9, rtol: float = 1e-5) -> DataFrame:
+    """Episodes of which a cut's frame differs, or a time by more than atol + rtol * |new time|."""
+    differ = [~F.col(f"old.{n}").eqNullSafe(F.col(f"new.{n}")) for n in names]
+    for t in times or []:
+        a, b = F.col(f"old.{t}"), F.col(f"new.{t}")
+        differ.append(~F.coalesce(F.abs(a - b) <= atol + rtol * F.abs(b), F.lit(False)))
+    return old.alias("old").join(new.alias("new"), F.col("old.ep") == F.col("new.ep")).filter(reduce(Column.__or__, differ)).select(F.col("new.ep").alias("ep"))
 
 
 def frame_index_faults(frames: DataFrame, column: str = "frame_index") -> DataFrame:
@@ -134,6 +171,12 @@ def length_faults(frames: DataFrame, meta: DataFrame) -> DataFrame:
     return per.join(meta.select("ep", "length"), "ep", "full").filter(~F.col("rows").eqNullSafe(F.col("length")))
 
 
+def id_faults(episodes: DataFrame) -> DataFrame:
+    """One row with n, lowest, highest and different ids if they aren't 0 to n-1, each once; else none."""
+    seen = episodes.agg(F.count(F.lit(1)).alias("n"), F.min("ep").alias("lowest"), F.max("ep").alias("highest"), F.count_distinct("ep").alias("different"))
+    return seen.filter((F.col("n") > 0) & ((F.col("lowest") != 0) | (F.col("highest") != F.col("n") - 1) | (F.col("different") != F.col("n"))))
+
+
 def timestamp_faults(frames: DataFrame, fps: float, atol: float = 1e-5, rtol: float = 1e-5) -> DataFrame:
     """Rows whose timestamp is not frame/fps within atol + rtol * |frame/fps|; NaN and null are faults."""
     due = F.col("f").cast("double") / fps

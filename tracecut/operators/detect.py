@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tracecut.functions.kernel import first_largest, first_of, largest, lasting, norm, ordered, runs, smoothed, step, whole
+from tracecut.functions.kernel import first_gap, first_largest, first_of, gathered, largest, last_run, lasting, norm, ordered, run_list, runs, smoothed, step, whole, with_run_ends
 
 
 def episodes(frames: DataFrame) -> DataFrame:
@@ -65,27 +65,42 @@ def motion_start(frames: DataFrame, columns: list[str], least: float, k: int, st
     return most.groupBy("ep").agg(F.min(F.when(F.col("hit"), F.struct("f", name.alias("channel")))).alias("x")).select("ep", F.col("x.f").alias("motion"), F.col("x.channel").alias("channel"))
 
 
-def arm_stop(frames: DataFrame, actions: list[str], states: list[str], least: float, k: int, lo: Column, hi: Column, smooth: int = 1) -> DataFrame:
-    """ep, stop, channels: where the state has been quiet for k frames after the last commanded motion.
+def moved_names(columns: list[str], least: float) -> Column:
+    """The channels with a step of `least` or more, comma-joined in their order."""
+    return F.array_join(F.array_compact(F.array(*(F.when(F.col(f"step_{c}") >= least, F.lit(c)) for c in columns))), ",")
 
-    Of the action's sustained runs that reach lo and start before hi the last one counts. From the step
-    behind it the first max(1, k-1) quiet state steps, all inside the episode, are sought; the stop is k
-    frames later and must be a frame. channels: those that moved in the last moving state step before.
+
+def stop_of(commanded: Column, moving: Column, lo: Column, hi: Column, length: Column, quiet: int, delay: int) -> Column:
+    """(start, stop): where the state is quiet for `quiet` steps behind the last commanded run in the window, and `delay` frames later, a frame of the episode or null."""
+    asked = last_run(commanded, lo, hi)
+    start = F.when(asked.isNotNull(), first_gap(moving, asked["stop"] + 1, quiet, length - 1))
+    return F.struct(asked.isNotNull().alias("asked"), start.alias("start"), F.when(start + delay < length, start + delay).alias("stop"))
+
+
+def names_before(named: Column, at: Column) -> Column:
+    """The names of the last of (f, names) before the frame; blank if there is none."""
+    return F.coalesce(F.try_element_at(F.filter(named, lambda x: x["f"] < at), F.lit(-1))["names"], F.lit(""))
+
+
+def arm_stop(frames: DataFrame, actions: list[str], states: list[str], least: float, k: int, lo: Column, hi: Column, smooth: int = 1, quiet: int | None = None, delay: int | None = None) -> DataFrame:
+    """ep, stop, channels: where the state has been quiet for a while after the last commanded motion.
+
+    Of the action's runs of k steps or more that reach lo and start before hi the last one counts. From
+    the step behind it the first `quiet` quiet state steps (k-1, 1 at least), all inside the episode, are
+    sought; the stop is `delay` (k) frames later and must be a frame. channels: those that moved in the
+    last moving state step before.
     """
-    bounds = frames.groupBy("ep").agg(F.first(lo).alias("lo"), F.first(hi).alias("hi"))
-    commanded = motion_runs(frames, actions, least, k, smooth).join(bounds, "ep").filter((F.col("stop") >= F.col("lo")) & (F.col("start") < F.col("hi")))
-    last = commanded.groupBy("ep").agg(F.max(F.struct("start", "stop")).alias("run")).select("ep", F.col("run.stop").alias("run_stop"))
-    own = with_steps(frames, states, smooth).join(last, "ep")
-    moved = [F.coalesce(F.col(f"step_{c}") >= least, F.lit(False)) for c in states]
-    quiet = largest([F.col(f"step_{c}") for c in states]) < least
-    any_moved = moved[0]
-    for m in moved[1:]:
-        any_moved = any_moved | m
-    own = own.select("ep", "f", "run_stop", any_moved.alias("moving"), lasting(quiet, max(1, k - 1)).alias("quiet"), F.array_compact(F.array(*(F.when(m, c) for m, c in zip(moved, states, strict=True)))).alias("names"))
-    own = own.withColumn("c", F.min(F.when(F.col("quiet") & (F.col("f") > F.col("run_stop")), F.col("f"))).over(whole()))
-    stops = own.groupBy("ep").agg(F.first("c").alias("c"), F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("moving") & (F.col("f") < F.col("c")), F.struct("f", "names"))).alias("before"))
-    stop = F.col("c") + k
-    return stops.filter(stop < F.col("n")).select("ep", stop.alias("stop"), F.coalesce(F.array_join("before.names", ","), F.lit("")).alias("channels"))
+    quiet, delay = max(1, k - 1) if quiet is None else quiet, k if delay is None else delay
+    channels = list(dict.fromkeys(actions + states))
+    asked, moved = (largest([F.col(f"step_{c}") for c in cs]) >= least for cs in (actions, states))
+    own = with_steps(frames.withColumns({"__lo": lo, "__hi": hi}), channels, smooth)
+    own = with_run_ends(own.select("ep", "f", "__lo", "__hi", moved_names(states, least).alias("names"), asked.alias("asked"), moved.alias("moved")), asked=F.col("asked"), moved=F.col("moved"))
+    per = own.groupBy("ep").agg(
+        F.count(F.lit(1)).alias("n"), F.first("__lo").alias("lo"), F.first("__hi").alias("hi"), run_list("asked", k).alias("commanded"), run_list("moved").alias("moving"),
+        gathered(F.col("moved_last"), F.struct("f", "names")).alias("named"),
+    )
+    found = per.select("ep", "named", stop_of(F.col("commanded"), F.col("moving"), F.col("lo"), F.col("hi"), F.col("n"), quiet, delay).alias("x"))
+    return found.filter("x.stop IS NOT NULL").select("ep", "x.stop", names_before(F.col("named"), F.col("x.start")).alias("channels"))
 
 
 def early_overlap(found: DataFrame, stable: DataFrame, most: int) -> DataFrame:
@@ -115,23 +130,37 @@ def release_distance(frames: DataFrame, xyz: list[str], release: Column, distanc
     return own.groupBy("ep").agg(F.min(F.when(far & F.col("f").between(F.col("release"), F.col("release") + horizon), F.col("f"))).alias("cut"))
 
 
-def mutation(frames: DataFrame, columns: list[str], change: float, tolerance: float, baseline: int = 8, smooth: int = 1, start: int = 0) -> DataFrame:
-    """ep, and for each channel the last frame within `tolerance` (or equal) of the median of its first `baseline` frames before it first is `change` or more away; null without such a change or with fewer than two frames to take the median of."""
+def with_deviation(frames: DataFrame, columns: list[str], change: float, baseline: int, start: int = 0) -> DataFrame:
+    """frames with dev_ and hit_ of each channel: how far it is from the median of its first `baseline` frames (null with fewer than two), and the first frame behind `start` at which that is `change` or more."""
     near = F.col("f").between(start, start + baseline - 1)
-    own = frames.select("ep", "f", *(smoothed(F.col(c), smooth).alias(c) for c in columns))
     enough = F.count(F.when(near, 1)).over(whole()) >= 2
-    own = own.select("ep", "f", *(F.when(enough, F.abs(F.col(c) - F.percentile(F.when(near, F.col(c)), 0.5).over(whole()))).alias(c) for c in columns))
-    own = own.filter(F.col("f") > start)
-    own = own.select("*", *(F.min(F.when(F.col(c) >= change, F.col("f"))).over(whole()).alias(f"hit_{c}") for c in columns))
-    stable = [F.max(F.when((F.col("f") < F.col(f"hit_{c}")) & (F.col(c) <= tolerance), F.col("f"))) for c in columns]
-    return own.groupBy("ep").agg(*(F.when(F.first(f"hit_{c}").isNotNull(), F.coalesce(s, F.lit(start).cast("long"))).alias(c) for c, s in zip(columns, stable, strict=True)))
+    own = frames.withColumns({f"dev_{c}": F.when(enough, F.abs(F.col(c) - F.percentile(F.when(near, F.col(c)), 0.5).over(whole()))) for c in columns})
+    return own.withColumns({f"hit_{c}": F.min(F.when((F.col(f"dev_{c}") >= change) & (F.col("f") > start), F.col("f"))).over(whole()) for c in columns})
+
+
+def stable_before(column: str, tolerance: float, start: int = 0) -> Column:
+    """The last frame within `tolerance` before the channel's hit, `start` if there is none, null without a hit; an aggregate."""
+    c = F.col(f"dev_{column}")
+    last = F.max(F.when((F.col("f") > start) & (F.col("f") < F.col(f"hit_{column}")) & (c <= tolerance), F.col("f")))
+    return F.when(F.count(f"hit_{column}") > 0, F.coalesce(last, F.lit(start).cast("long")))
+
+
+def earliest(columns: list[str]) -> Column:
+    """(cut, i, channel): the least of these columns; of equal ones the first; null if all are."""
+    return F.array_min(F.array_compact(F.array(*(F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("cut"), F.lit(i).alias("i"), F.lit(c).alias("channel"))) for i, c in enumerate(columns)))))
+
+
+def mutation(frames: DataFrame, columns: list[str], change: float, tolerance: float, baseline: int = 8, smooth: int = 1, start: int = 0) -> DataFrame:
+    """ep, and for each channel the last frame within `tolerance` (or equal) of the median of its first `baseline` frames before it first is `change` or more away; null without such a change or with fewer than two frames to take the median of."""
+    own = with_deviation(frames.select("ep", "f", *(smoothed(F.col(c), smooth).alias(c) for c in columns)), columns, change, baseline, start)
+    # an episode of no more than the start has no row
+    return own.filter(F.col("f") > start).groupBy("ep").agg(*(stable_before(c, tolerance, start).alias(c) for c in columns))
 
 
 def any_mutation(frames: DataFrame, columns: list[str], change: float, tolerance: float, baseline: int = 8, smooth: int = 1, start: int = 0) -> DataFrame:
     """ep, cut, channel: the earliest mutation of the channels that have one; of equal ones that of the first channel."""
     each = mutation(frames, columns, change, tolerance, baseline, smooth, start)
-    least = F.array_min(F.array_compact(F.array(*(F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("cut"), F.lit(i).alias("i"), F.lit(c).alias("channel"))) for i, c in enumerate(columns)))))
-    return each.select("ep", least.alias("x")).select("ep", F.col("x.cut").alias("cut"), F.col("x.channel").alias("channel"))
+    return each.select("ep", earliest(columns).alias("x")).select("ep", F.col("x.cut").alias("cut"), F.col("x.channel").alias("channel"))
 
 
 def closures(frames: DataFrame, state: str, action: str, drop: float, reopen: float, slack: float, contact_most: float, contact_gap: float, smooth: int = 1) -> DataFrame:
@@ -143,9 +172,14 @@ def closures(frames: DataFrame, state: str, action: str, drop: float, reopen: fl
     action went `contact_gap` or more below it. One fold over the episode's frames in order.
     """
     own = frames.select("ep", "f", smoothed(F.col(state), smooth).alias("v"), smoothed(F.col(action), smooth).alias("a"))
-    packed = own.groupBy("ep").agg(F.array_sort(F.collect_list(F.struct(F.col("f"), F.col("v"), F.col("a")))).alias("xs"))
+    packed = own.groupBy("ep").agg(F.sort_array(F.collect_list(F.struct(F.col("f"), F.col("v"), F.col("a")))).alias("xs"))
+    return packed.select("ep", gripper_fold(F.col("xs"), drop, reopen, slack, contact_most, contact_gap).alias("s")).select("ep", "s.closures", "s.contacts", "s.releases")
+
+
+def gripper_fold(xs: Column, drop: float, reopen: float, slack: float, contact_most: float, contact_gap: float) -> Column:
+    """The automaton over an episode's (f, v, a) in order, with its three lists."""
     none = F.array().cast("array<bigint>")
-    x0 = F.get("xs", F.lit(0))
+    x0 = F.get(xs, F.lit(0))
     begin = F.struct(F.lit(True).alias("open"), x0["v"].alias("peak"), F.lit(0).cast("long").alias("at"), x0["v"].alias("low"), x0["a"].alias("alow"), none.alias("closures"), none.alias("contacts"), none.alias("releases"))
 
     def turn(s: Column, x: Column) -> Column:
@@ -166,8 +200,7 @@ def closures(frames: DataFrame, state: str, action: str, drop: float, reopen: fl
             F.when(contact, F.concat(s["releases"], F.array(x["f"]))).otherwise(s["releases"]).alias("releases"),
         )
 
-    rest = F.slice("xs", F.lit(2), F.size("xs"))
-    return packed.select("ep", F.aggregate(rest, begin, turn).alias("s")).select("ep", "s.closures", "s.contacts", "s.releases")
+    return F.aggregate(F.slice(xs, F.lit(2), F.greatest(F.size(xs), F.lit(1))), begin, turn)
 
 
 def release_frame(frames: DataFrame, gripper: str, delta: float, k: int) -> DataFrame:
@@ -178,24 +211,25 @@ def release_frame(frames: DataFrame, gripper: str, delta: float, k: int) -> Data
 
 
 def longest_pause(frames: DataFrame, xyz: list[str], gripper: str, height: str, delta: float, k: int, slow: float, least: int, opening: int, smooth: int = 1) -> DataFrame:
-    """ep, insertion, release, start, stop (exclusive): the longest pause between the insertion and the release, the earliest of equal ones.
+    """ep, length, insertion, release, start, stop (exclusive): the longest pause between the insertion and the release, the earliest of equal ones.
 
     The release is release_frame's; the insertion is the first highest frame up to it. A pause is a maximal
     run of steps slower than `slow` there, of `least` steps or more, that ends before the release and
-    starts after frame `opening`. Episodes without one have null start and stop.
+    starts after frame `opening`. Episodes without one have null start and stop. One exchange: all of it
+    are windows over the episode and a group.
     """
-    release = release_frame(frames, gripper, delta, k)
-    own = frames.select("ep", "f", *(smoothed(F.col(c), smooth).alias(c) for c in xyz))
+    up = F.col(gripper) > first_of(F.col(gripper)) + delta
+    own = frames.select("ep", "f", *(smoothed(F.col(c), smooth).alias(c) for c in xyz), lasting(up, k).alias("up"))
     speed = norm([F.lead(F.col(c)).over(ordered()) - F.col(c) for c in xyz])
-    own = own.select("ep", "f", F.col(height).alias("z"), speed.alias("speed")).join(release, "ep")
+    release = F.coalesce(F.min(F.when(F.col("up"), F.col("f"))).over(whole()), F.max("f").over(whole()))
+    own = own.select("ep", "f", F.col(height).alias("z"), speed.alias("speed"), release.alias("release"))
     top = F.max(F.when(F.col("f") <= F.col("release"), F.struct(F.col("z"), (-F.col("f")).alias("f")))).over(whole())
     own = own.withColumn("insertion", -top["f"])
     slowly = F.col("f").between(F.col("insertion"), F.col("release") - 1) & (F.col("speed") < slow)
-    found = runs(own, slowly).select("ep", "start", (F.col("stop") + 1).alias("stop"))
-    base = own.groupBy("ep").agg(F.first("insertion").alias("insertion"), F.first("release").alias("release"))
-    found = found.join(base, "ep").filter((F.col("stop") < F.col("release")) & (F.col("stop") - F.col("start") >= least) & (F.col("start") > opening))
-    best = found.groupBy("ep").agg(F.max(F.struct((F.col("stop") - F.col("start")).alias("n"), (-F.col("start")).alias("s"), F.col("stop"))).alias("x"))
-    return base.join(best, "ep", "left").select("ep", "insertion", "release", (-F.col("x.s")).alias("start"), F.col("x.stop").alias("stop"))
+    per = with_run_ends(own, slowly=slowly).groupBy("ep").agg(F.count(F.lit(1)).alias("length"), F.first("insertion").alias("insertion"), F.first("release").alias("release"), run_list("slowly", least).alias("runs"))
+    fine = F.filter("runs", lambda r: (r["stop"] + 1 < F.col("release")) & (r["start"] > opening))
+    best = F.array_max(F.transform(fine, lambda r: F.struct((r["stop"] - r["start"]).alias("n"), (-r["start"]).alias("s"), (r["stop"] + 1).alias("stop"))))
+    return per.withColumn("x", best).select("ep", "length", "insertion", "release", (-F.col("x.s")).alias("start"), F.col("x.stop").alias("stop"))
 
 
 def nearest_frames(stamps: DataFrame, times: DataFrame) -> DataFrame:

@@ -17,9 +17,16 @@ FPS = 30.0
 #: The chain's thresholds at the scale of event values.
 CHAIN = C.Config(
     fps=4.0, smooth_frames=1, mutation_change=60.0, baseline_tolerance=20.0, gripper_drop=40.0, gripper_reopen=40.0, gripper_peak_slack=5.0, gripper_contact_gap=-60.0, gripper_contact_max_position=25.0,
-    release_distance=20.0, release_search_seconds=5.0, joint_step=250.0, joint_action_ratio=20.0, arm_step=40.0, motion_seconds=0.5, max_lead_seconds=1.0, tail_seconds=2.0,
+    release_distance=20.0, release_search_seconds=5.0, joint_step=250.0, joint_action_ratio=20.0, arm_step=40.0, max_lead_seconds=1.0, tail_seconds=2.0,
     right_state=["v"], right_action=["a"], left_state=["a"], left_action=["v"], gripper="v", gripper_action="a", xyz=["v", "a"],
 )
+#: Others, under which all kinds of rejections occur: smoothed signals, durations of their own, and jumps that the action does not explain.
+STRICT = C.Config(
+    fps=8.0, smooth_frames=3, baseline_frames=5, mutation_change=30.0, baseline_tolerance=12.0, gripper_drop=15.0, gripper_reopen=15.0, gripper_peak_slack=4.0, gripper_contact_gap=-80.0, gripper_contact_max_position=60.0,
+    release_distance=30.0, release_search_seconds=0.7, joint_step=210.0, joint_action_ratio=4.0, arm_step=8.0, start_seconds=0.4, motion_seconds=0.25, quiet_seconds=0.2, delay_seconds=0.15, max_lead_seconds=0.4, tail_seconds=1.0,
+    right_state=["v"], right_action=["a"], left_state=["v"], left_action=["a"], gripper="v", gripper_action="a", xyz=["v", "a"],
+)
+CHAIN_COLUMNS = ["ep", "length", "status", "reason", "cut1", "cut2", "cut3", "cut4", "left_start", "task_end", "n_closures"]
 
 FR = "fr AS (SELECT user_id AS ep, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1)::BIGINT AS f, value AS v, json_extract_string(props, '$.k')::DOUBLE AS a FROM events)"
 VF = "vf AS (SELECT label::BIGINT AS ep, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1)::BIGINT AS f, embedding::DOUBLE[] AS x FROM embeddings)"
@@ -40,32 +47,32 @@ def onset(name: str, column: str, threshold: float, k: int) -> str:
     return f"{name} AS (SELECT ep, min(CASE WHEN hit THEN f END) AS onset FROM (SELECT ep, f, {lasting(away, k)} AS hit FROM (SELECT *, first_value({column}) OVER (PARTITION BY ep ORDER BY f) AS c0 FROM fr)) GROUP BY ep)"
 
 
-def mutation(name: str, column: str, change: float, tolerance: float) -> str:
-    return f"""{name}_d AS (SELECT ep, f, abs({column} - (median({column}) FILTER (WHERE f < 8) OVER (PARTITION BY ep))) AS d FROM fr),
+def mutation(name: str, column: str, change: float, tolerance: float, source: str = "fr", baseline: int = 8) -> str:
+    return f"""{name}_d AS (SELECT ep, f, abs({column} - (median({column}) FILTER (WHERE f < {baseline}) OVER (PARTITION BY ep))) AS d FROM {source}),
     {name}_h AS (SELECT *, min(CASE WHEN d >= {change}::DOUBLE AND f > 0 THEN f END) OVER (PARTITION BY ep) AS h FROM {name}_d),
     {name} AS (SELECT ep, CASE WHEN any_value(h) IS NOT NULL THEN coalesce(max(CASE WHEN f > 0 AND f < h AND d <= {tolerance}::DOUBLE THEN f END), 0) END AS cut FROM {name}_h GROUP BY ep)"""
 
 
-def stop(name: str, action: str, state: str, least: float, k: int, bounds: str) -> str:
+def stop(name: str, action: str, state: str, least: float, k: int, bounds: str, quiet: int | None = None, delay: int | None = None) -> str:
     """bounds: a table of ep, lo, hi."""
-    quiet = max(1, k - 1)
+    quiet, delay = max(1, k - 1) if quiet is None else quiet, k if delay is None else delay
     return f"""{runs(name + "_r", "st", f"{action} >= {least}::DOUBLE", k)},
     {name}_l AS (SELECT ep, arg_max(r.stop, r.start) AS rs FROM {name}_r r JOIN {bounds} b USING (ep) WHERE r.stop >= lo AND r.start < hi GROUP BY ep),
     {name}_q AS (SELECT ep, f, {state} >= {least}::DOUBLE AS moving, {lasting(f"{state} < {least}::DOUBLE", quiet)} AS quiet FROM st),
     {name}_c AS (SELECT ep, min(CASE WHEN quiet AND f > rs THEN f END) AS c, count(*) AS n FROM {name}_q JOIN {name}_l USING (ep) GROUP BY ep),
-    {name} AS (SELECT ep, c + {k} AS stop, CASE WHEN bool_or(coalesce(moving, false) AND f < c) THEN '{state[1:]}' ELSE '' END AS channels FROM {name}_c JOIN {name}_q USING (ep) WHERE c + {k} < n GROUP BY ep, c)"""
+    {name} AS (SELECT ep, c + {delay} AS stop, CASE WHEN bool_or(coalesce(moving, false) AND f < c) THEN '{state[1:]}' ELSE '' END AS channels FROM {name}_c JOIN {name}_q USING (ep) WHERE c + {delay} < n GROUP BY ep, c)"""
 
 
-def closures(name: str, drop: float, reopen: float, slack: float, most: float, gap: float) -> str:
+def closures(name: str, drop: float, reopen: float, slack: float, most: float, gap: float, source: str = "fr") -> str:
     closes = f"open AND greatest(peak, x.v) - x.v >= {drop}::DOUBLE"
     opens = f"NOT open AND x.v - least(low, x.v) >= {reopen}::DOUBLE"
     contact = f"{opens} AND least(low, x.v) <= {most}::DOUBLE AND least(low, x.v) - least(alow, x.a) >= {gap}::DOUBLE"
     at = f"CASE WHEN x.v >= greatest(peak, x.v) - {slack}::DOUBLE THEN x.f ELSE place END"
-    return f"""{name}_w AS (SELECT ep, f, true AS open, v AS peak, 0::BIGINT AS place, v AS low, a AS alow, []::BIGINT[] AS closures, []::BIGINT[] AS contacts, []::BIGINT[] AS releases FROM fr WHERE f = 0
+    return f"""{name}_w AS (SELECT ep, f, true AS open, v AS peak, 0::BIGINT AS place, v AS low, a AS alow, []::BIGINT[] AS closures, []::BIGINT[] AS contacts, []::BIGINT[] AS releases FROM {source} WHERE f = 0
       UNION ALL SELECT x.ep, x.f, CASE WHEN open THEN NOT ({closes}) ELSE {opens} END, CASE WHEN open THEN greatest(peak, x.v) WHEN {opens} THEN x.v ELSE peak END,
         CASE WHEN open THEN {at} WHEN {opens} THEN x.f ELSE place END, CASE WHEN open THEN x.v ELSE least(low, x.v) END, CASE WHEN open THEN x.a ELSE least(alow, x.a) END,
         CASE WHEN {closes} THEN list_append(closures, {at}) ELSE closures END, CASE WHEN {contact} THEN list_append(contacts, closures[-1]) ELSE contacts END, CASE WHEN {contact} THEN list_append(releases, x.f) ELSE releases END
-      FROM {name}_w w JOIN fr x ON x.ep = w.ep AND x.f = w.f + 1),
+      FROM {name}_w w JOIN {source} x ON x.ep = w.ep AND x.f = w.f + 1),
     {name} AS (SELECT ep, arg_max(closures, f) AS closures, arg_max(contacts, f) AS contacts, arg_max(releases, f) AS releases FROM {name}_w GROUP BY ep)"""
 
 
@@ -81,28 +88,37 @@ def smoothing(column: str, n: int) -> str:
 WINDOWS = "WINDOW w AS (PARTITION BY ep ORDER BY f), p AS (PARTITION BY ep ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
 
 
-def chain_sql() -> str:
-    c = CHAIN
-    k, lead, tail, ahead = (C.frames_of(s, c.fps) for s in (c.motion_seconds, c.max_lead_seconds, c.tail_seconds, c.release_search_seconds))
+def chain_sql(c: C.Config) -> str:
+    ahead, tail, lead, delay = (C.frames_of(x, c.fps) for x in (c.release_search_seconds, c.tail_seconds, c.max_lead_seconds, c.delay_seconds))
+    start, motion, quiet = C.frames_of(c.start_seconds, c.fps, 1), C.frames_of(c.motion_seconds, c.fps, 1), max(1, C.frames_of(c.quiet_seconds, c.fps) - 1)
     s = f"{c.arm_step}::DOUBLE"
+    la, ra, ls, rs = (f"s{x[0]}" for x in (c.left_action, c.right_action, c.left_state, c.right_state))
+    states, actions = (" + ".join(f"r{x} * r{x}" for x in xs) for xs in (c.right_state + c.left_state, c.right_action + c.left_action))
+    top = ", ".join(f"r{x}" for x in c.right_state + c.left_state)
+    smooth = ", ".join(f"{smoothing(x, c.smooth_frames)} AS {x}" if c.smooth_frames > 1 else x for x in ("v", "a"))
 
     def early(name, found, stable, search):
         return f"{name} AS (SELECT DISTINCT r.ep FROM {found} r JOIN {stable} b USING (ep) WHERE r.stop >= b.{search} AND r.start <= b.stable AND b.stable <= r.stop AND b.stable - r.start > {lead})"
 
-    return f"""WITH RECURSIVE {FR}, {ST}, {EP},
-    jump AS (SELECT DISTINCT ep FROM st WHERE sv IS NOT NULL AND greatest(sv, sa) >= {c.joint_step}::DOUBLE AND CASE WHEN sv = 0 AND sa = 0 THEN true ELSE sqrt(sv * sv + sa * sa) / sqrt(sa * sa + sv * sv) >= {c.joint_action_ratio}::DOUBLE END),
-    {mutation("m", "v", c.mutation_change, c.baseline_tolerance)},
-    {closures("g", c.gripper_drop, c.gripper_reopen, c.gripper_peak_slack, c.gripper_contact_max_position, c.gripper_contact_gap)},
-    rel AS (SELECT g.ep, releases[2] AS release, len(closures) AS n_closures, v AS bv, a AS ba FROM g LEFT JOIN fr ON fr.ep = g.ep AND fr.f = releases[2]),
-    c2 AS (SELECT fr.ep, min(f) AS cut2 FROM fr JOIN rel USING (ep) WHERE f BETWEEN release AND release + {ahead} AND sqrt((v - bv) * (v - bv) + (a - ba) * (a - ba)) >= {c.release_distance}::DOUBLE GROUP BY fr.ep),
-    ls AS (SELECT ep, min(CASE WHEN hit THEN f END) AS left_start FROM (SELECT ep, f, {lasting(f"sv >= {s}", k)} AS hit FROM st JOIN c2 USING (ep) WHERE f >= cut2 + 1) GROUP BY ep),
+    def stop_at(name, action, state, bounds):
+        return stop(name, action, state, c.arm_step, motion, bounds, quiet, delay)
+
+    return f"""WITH RECURSIVE {FR}, fs AS (SELECT ep, f, {smooth} FROM fr {WINDOWS}),
+    st AS (SELECT *, abs(lead(v) OVER w - v) AS sv, abs(lead(a) OVER w - a) AS sa FROM fs WINDOW w AS (PARTITION BY ep ORDER BY f)), {EP},
+    sr AS (SELECT ep, abs(lead(v) OVER w - v) AS rv, abs(lead(a) OVER w - a) AS ra FROM fr WINDOW w AS (PARTITION BY ep ORDER BY f)),
+    jump AS (SELECT DISTINCT ep FROM sr WHERE rv IS NOT NULL AND greatest({top}) >= {c.joint_step}::DOUBLE AND CASE WHEN {actions} = 0 THEN true ELSE sqrt({states}) / sqrt({actions}) >= {c.joint_action_ratio}::DOUBLE END),
+    {mutation("m", c.right_state[0], c.mutation_change, c.baseline_tolerance, "fs", c.baseline_frames)},
+    {closures("g", c.gripper_drop, c.gripper_reopen, c.gripper_peak_slack, c.gripper_contact_max_position, c.gripper_contact_gap, "fs")},
+    rel AS (SELECT g.ep, releases[2] AS release, len(closures) AS n_closures, v AS bv, a AS ba FROM g LEFT JOIN fs ON fs.ep = g.ep AND fs.f = releases[2]),
+    c2 AS (SELECT fs.ep, min(f) AS cut2 FROM fs JOIN rel USING (ep) WHERE f BETWEEN release AND release + {ahead} AND sqrt((v - bv) * (v - bv) + (a - ba) * (a - ba)) >= {c.release_distance}::DOUBLE GROUP BY fs.ep),
+    ls AS (SELECT ep, min(CASE WHEN hit THEN f END) AS left_start FROM (SELECT ep, f, {lasting(f"{la} >= {s}", start)} AS hit FROM st JOIN c2 USING (ep) WHERE f >= cut2 + 1) GROUP BY ep),
     b3 AS (SELECT ep, cut2 + 1 AS lo, left_start AS hi, cut2 FROM c2 JOIN ls USING (ep) WHERE left_start IS NOT NULL),
-    {stop("s3", "sa", "sv", c.arm_step, k, "b3")},
-    b4 AS (SELECT ep, s3.stop + 1 AS lo, length - {tail} AS hi, s3.stop AS cut3, s3.stop - {k} AS stable, cut2 FROM s3 JOIN e USING (ep) JOIN c2 USING (ep)),
-    {stop("s4", "sv", "sa", c.arm_step, k, "b4")},
-    b5 AS (SELECT ep, s4.stop + 1 AS lo, length AS hi, s4.stop - {k} AS stable, cut3 FROM s4 JOIN e USING (ep) JOIN b4 USING (ep)),
-    {stop("s5", "sa", "sv", c.arm_step, k, "b5")},
-    {runs("lr", "st", f"sv >= {s}", k)}, {runs("rr", "st", f"sa >= {s}", k)},
+    {stop_at("s3", ra, rs, "b3")},
+    b4 AS (SELECT ep, s3.stop + 1 AS lo, length - {tail} AS hi, s3.stop AS cut3, s3.stop - {delay} AS stable, cut2 FROM s3 JOIN e USING (ep) JOIN c2 USING (ep)),
+    {stop_at("s4", la, ls, "b4")},
+    b5 AS (SELECT ep, s4.stop + 1 AS lo, length AS hi, s4.stop - {delay} AS stable, cut3 FROM s4 JOIN e USING (ep) JOIN b4 USING (ep)),
+    {stop_at("s5", ra, rs, "b5")},
+    {runs("lr", "st", f"{la} >= {s}", motion)}, {runs("rr", "st", f"{ra} >= {s}", motion)},
     {early("el", "lr", "b4", "cut2")}, {early("er", "rr", "b5", "cut3")},
     a AS (SELECT e.ep, length, jump.ep IS NOT NULL AS jumps, greatest(m.cut, 1) AS cut1, release, n_closures, c2.cut2, left_start, s3.stop AS cut3, s4.stop AS cut4, s5.stop AS task_end, el.ep IS NOT NULL AS early_left, er.ep IS NOT NULL AS early_right, m.cut IS NULL AS no_cut1
       FROM e LEFT JOIN jump USING (ep) LEFT JOIN m USING (ep) LEFT JOIN rel USING (ep) LEFT JOIN c2 USING (ep) LEFT JOIN ls USING (ep) LEFT JOIN s3 USING (ep) LEFT JOIN s4 USING (ep) LEFT JOIN s5 USING (ep) LEFT JOIN el USING (ep) LEFT JOIN er USING (ep)),
@@ -139,7 +155,7 @@ def overlap(spark, d):
 
 
 def pause(spark, d):
-    return D.longest_pause(event_frames(spark, d), ["v", "a"], "a", "v", 20.0, 2, 60.0, 2, 3)
+    return D.longest_pause(event_frames(spark, d), ["v", "a"], "a", "v", 20.0, 2, 60.0, 2, 3).drop("length")
 
 
 PAUSE = f"""rl AS (SELECT ep, coalesce(min(CASE WHEN hit THEN f END), max(f)) AS release FROM (SELECT ep, f, {lasting("a > a0 + 20::DOUBLE", 2)} AS hit FROM (SELECT *, first_value(a) OVER (PARTITION BY ep ORDER BY f) AS a0 FROM fr)) GROUP BY ep),
@@ -272,8 +288,9 @@ def _queries() -> dict:
         f"WITH {FR}, {mutation('m1', 'v', 45.0, 20.0)}, {mutation('m2', 'a', 45.0, 20.0)} SELECT ep, least(m1.cut, m2.cut) AS cut, CASE WHEN m1.cut <= coalesce(m2.cut, m1.cut) THEN 'v' WHEN m2.cut IS NOT NULL THEN 'a' END AS channel FROM m1 JOIN m2 USING (ep)",
     )
     q["hysteresis_closures"] = (lambda s, d: D.closures(ev(s, d), "v", "a", 60.0, 60.0, 5.0, 25.0, -60.0), f"WITH RECURSIVE {FR}, {closures('g', 60.0, 60.0, 5.0, 25.0, -60.0)} SELECT * FROM g")
-    q["cut_pipeline"] = (lambda s, d: C.find_cuts(ev(s, d), CHAIN), chain_sql())
-    q["cut_status"] = (lambda s, d: C.status_counts(C.find_cuts(ev(s, d), CHAIN)), f"SELECT s.status, count(r.ep) AS n FROM (VALUES ('ok'), ('rejected'), ('error')) s(status) LEFT JOIN ({chain_sql()}) r ON r.status = s.status GROUP BY s.status")
+    q["cut_pipeline"] = (lambda s, d: C.find_cuts(ev(s, d), CHAIN).select(*CHAIN_COLUMNS), chain_sql(CHAIN))
+    q["cut_pipeline_strict"] = (lambda s, d: C.find_cuts(ev(s, d), STRICT).select(*CHAIN_COLUMNS), chain_sql(STRICT))
+    q["cut_status"] = (lambda s, d: C.status_counts(C.find_cuts(ev(s, d), STRICT)), f"SELECT s.status, count(r.ep) AS n FROM (VALUES ('ok'), ('rejected'), ('error')) s(status) LEFT JOIN ({chain_sql(STRICT)}) r ON r.status = s.status GROUP BY s.status")
     q["release_frame"] = (lambda s, d: D.release_frame(ev(s, d), "a", 20.0, 2), f"WITH {FR}, {PAUSE} SELECT * FROM rl")
     q["longest_pause"] = (pause, f"WITH {FR}, {PAUSE} SELECT ep, insertion, release, start, stop FROM ins LEFT JOIN pb USING (ep)")
     kept = f"""{FR}, {EP}, {PAUSE}, kp AS (SELECT ep, row_number() OVER (ORDER BY ep) - 1 AS new_ep, coalesce(sum(length) OVER (ORDER BY ep ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base, length FROM e WHERE ep NOT IN (SELECT ep FROM pb))"""

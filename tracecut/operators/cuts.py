@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tracecut.functions.kernel import first_largest, gathered, largest, norm, ordered, run_list, smoothed, step, with_run_ends
 from tracecut.operators import detect as D
+from tracecut.sources.store import written
 
 STATUSES = ("ok", "rejected", "error")
 CUTS = ["cut1", "cut2", "cut3", "cut4"]
@@ -107,7 +108,7 @@ def find_cuts(frames: DataFrame, c: Config) -> DataFrame:
     Stages run in a fixed order, and the first that fails gives the reason and the error's text; what was
     found is null unless all are fine. Rejections are about quality (discontinuity, release_distance,
     early_left, early_right), errors about missing events. task_end is optional: the right arm's stop
-    behind cut4.
+    behind cut4. The result, a row an episode, is written and read again.
     """
     quiet, delay, lead = frames_of(c.quiet_seconds, c.fps, 0), frames_of(c.delay_seconds, c.fps), frames_of(c.max_lead_seconds, c.fps)
     quiet, ahead = max(1, quiet - 1), frames_of(c.release_search_seconds, c.fps)
@@ -172,12 +173,13 @@ def find_cuts(frames: DataFrame, c: Config) -> DataFrame:
     r = r.withColumn("failed", failed)
     fine = col("failed").isNull()
     kept = [*CUTS, "left_start", "task_end", "n_closures", "cut1_channel", "left_start_channel", "cut3_channels", "cut4_channels"]
-    return r.select(
+    # written, for a filter that were pushed down would unfold all stages into itself, each as often as later ones ask for it
+    return written(r.select(
         "ep", "length", F.coalesce("failed.status", F.lit("ok")).alias("status"), F.coalesce("failed.reason", F.lit("")).alias("reason"), F.coalesce("failed.error", F.lit("")).alias("error"),
         *(F.when(fine, col(x)).alias(x) for x in kept),
         F.when(fine, F.when(col("task_end").isNotNull(), col("task_end_channels")).otherwise("")).alias("task_end_channels"),
         F.when(fine, F.when(col("task_end").isNotNull(), "").otherwise(no_stop("task_end"))).alias("task_end_error"),
-    )
+    ))
 
 
 def status_counts(cuts: DataFrame) -> DataFrame:

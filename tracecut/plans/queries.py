@@ -11,6 +11,7 @@ from tracecut.functions import kernel as K
 from tracecut.operators import cuts as C
 from tracecut.operators import datasets as S
 from tracecut.operators import detect as D
+from tracecut.plans import workflows as W
 from tracecut.sources.frames import event_frames, vector_frames
 
 FPS = 30.0
@@ -154,19 +155,25 @@ def overlap(spark, d):
     return D.early_overlap(motion(spark, d), stable, 4)
 
 
-def pause(spark, d):
-    return D.longest_pause(event_frames(spark, d), ["v", "a"], "a", "v", 20.0, 2, 60.0, 2, 3).drop("length")
+def pause(spark, d, smooth=1):
+    return D.longest_pause(event_frames(spark, d), ["v", "a"], "a", "v", 20.0, 2, 60.0, 2, 3, smooth).drop("length")
 
 
-PAUSE = f"""rl AS (SELECT ep, coalesce(min(CASE WHEN hit THEN f END), max(f)) AS release FROM (SELECT ep, f, {lasting("a > a0 + 20::DOUBLE", 2)} AS hit FROM (SELECT *, first_value(a) OVER (PARTITION BY ep ORDER BY f) AS a0 FROM fr)) GROUP BY ep),
-    sp AS (SELECT *, sqrt((lead(v) OVER w - v) * (lead(v) OVER w - v) + (lead(a) OVER w - a) * (lead(a) OVER w - a)) AS speed FROM fr WINDOW w AS (PARTITION BY ep ORDER BY f)),
-    ins AS (SELECT ep, release, arg_min(f, (-v, f)) FILTER (WHERE f <= release) AS insertion FROM fr JOIN rl USING (ep) GROUP BY ep, release),
+def pause_sql(smooth: int = 1) -> str:
+    v, a = (smoothing(c, smooth) if smooth > 1 else c for c in ("v", "a"))
+    return f"""rl AS (SELECT ep, coalesce(min(CASE WHEN hit THEN f END), max(f)) AS release FROM (SELECT ep, f, {lasting("a > a0 + 20::DOUBLE", 2)} AS hit FROM (SELECT *, first_value(a) OVER (PARTITION BY ep ORDER BY f) AS a0 FROM fr)) GROUP BY ep),
+    sm AS (SELECT ep, f, {v} AS v, {a} AS a FROM fr {WINDOWS}),
+    sp AS (SELECT *, sqrt((lead(v) OVER w - v) * (lead(v) OVER w - v) + (lead(a) OVER w - a) * (lead(a) OVER w - a)) AS speed FROM sm WINDOW w AS (PARTITION BY ep ORDER BY f)),
+    ins AS (SELECT ep, release, arg_min(f, (-v, f)) FILTER (WHERE f <= release) AS insertion FROM sm JOIN rl USING (ep) GROUP BY ep, release),
     pj AS (SELECT sp.*, insertion, release FROM sp JOIN ins USING (ep)),
     {runs("pr", "pj", "f >= insertion AND f < release AND speed < 60::DOUBLE", 1)},
     pc AS (SELECT ep, start, pr.stop + 1 AS stop FROM pr JOIN ins USING (ep) WHERE pr.stop + 1 < release AND pr.stop + 1 - start >= 2 AND start > 3),
     pb AS (SELECT ep, arg_min(start, (start - stop, start)) AS start, arg_min(stop, (start - stop, start)) AS stop FROM pc GROUP BY ep)"""
 
 
+PAUSE = pause_sql()
+
+
 def reindexed(spark, d):
     out = S.without_episodes(event_frames(spark, d), pause(spark, d).filter("start IS NOT NULL"))
     return out.groupBy("ep", "new_ep").agg(F.min("index").alias("first_index"), F.max("index").alias("last_index"), F.count(F.lit(1)).alias("length"))
@@ -244,6 +251,49 @@ def changed(spark, d):
 NEAR = f"""tm AS (SELECT ep, i::INT AS cut_no, length * [0.13::DOUBLE, 0.37::DOUBLE, 0.5::DOUBLE, 0.81::DOUBLE][i] / 30.0::DOUBLE AS time FROM e, range(1, 5) t(i)),
     nf AS (SELECT ep, cut_no, arg_min(f, (abs(f / 30.0::DOUBLE - time), f)) AS frame FROM fr JOIN tm USING (ep) GROUP BY ep, cut_no)"""
 
+def described(spark, d):
+    """Intervals with the text that an annotation gives them, beside a task of two steps."""
+    text = F.when(F.col("ep") % 4 == 0, "other").otherwise(F.concat(F.lit("step "), F.col("ordinal")))
+    steps = spark.createDataFrame([(0, "a", "step 0"), (1, "b", "step 1")], "ordinal int, id string, description string")
+    return S.labelled(intervals(spark, d).withColumn("subtask", text), steps).select("ep", "ordinal", "id", "description", "problem")
+
+
+def resegmented(spark, d):
+    """Intervals as episodes of their own, numbered by ranges."""
+    plan = S.numbered(intervals(spark, d).withColumn("order", F.struct("ep", "ordinal")).withColumn("length", F.col("stop") - F.col("start")).filter("length > 0"), "order", spread=True)
+    out = S.renumbered(event_frames(spark, d), plan.select("ep", "new_ep", "base", "start", "stop", "ordinal"), FPS)
+    return out.select("ep", "new_ep", "ordinal", "frame_index", "index", F.round(F.col("timestamp").cast("double"), 4).alias("timestamp"), "v")
+
+
+def cut_times(spark, d):
+    frames = event_frames(spark, d)
+    found = W.timed(C.find_cuts(frames, CHAIN), frames.withColumn("timestamp", (F.col("f") / FPS).cast("float")))
+    names = [f"time{i}" for i in range(1, 5)] + ["task_end_time"]
+    return found.filter("status = 'ok'").select("ep", *(F.round(n, 5).alias(n) for n in names))
+
+
+def moved_cuts(spark, d):
+    """Episodes of which a time, as hand-edited, or its frame differs."""
+    frames = D.episodes(event_frames(spark, d)).select("ep", *(F.floor(F.col("length") * x).alias(f"cut{i}") for i, x in enumerate((0.13, 0.37, 0.5, 0.81), 1)))
+    old = frames.select("*", *((F.col(f"cut{i}") / FPS).alias(f"time{i}") for i in range(1, 5)))
+    shift = F.when(F.col("ep") % 6 == 0, 1e-3).when(F.col("ep") % 6 == 1, 1e-12).otherwise(0.0)
+    new = frames.withColumn("cut4", F.when(F.col("ep") % 6 == 2, F.col("cut4") + 1).otherwise(F.col("cut4"))).select("*", *((F.col(f"cut{i}") / FPS + shift).alias(f"time{i}") for i in range(1, 5))).withColumn("time4", (F.floor(F.col("cut4")) / FPS + shift))
+    return S.changed_cuts(old, new.withColumn("time4", F.when(F.col("ep") % 6 == 2, (F.col("cut4") - 1) / FPS).otherwise(F.col("time4"))), C.CUTS, [f"time{i}" for i in range(1, 5)])
+
+
+def owners(spark, d):
+    """Orders with their customers; one without would be an error."""
+    customers = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("ep"), "c_name")
+    return W.matched(spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.col("o_custkey").alias("ep")), customers, "c_name").select("ep", "o_orderkey", "c_name")
+
+
+def documents_of(spark, d):
+    """Statistics of two scalars and of a vector as documents have them, rounded."""
+    frames = vector_frames(spark, d).select("ep", "f", F.slice("x", 1, 3).alias("x"), F.get("x", F.lit(5)).alias("y"))
+    found = S.feature_stats(frames, {"x": "place", "y": "grip", "f": "frame_index"})
+    return found.select("ep", "feature", *(F.transform(c, lambda v: F.round(v, 6)).alias(c) for c in ("min", "max", "mean", "std")), "count")
+
+
 STATS = "min({c}) AS min, max({c}) AS max, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS std, count({c}) AS count"
 
 
@@ -339,6 +389,31 @@ def _queries() -> dict:
         f"WITH {FR} SELECT DISTINCT ep, 0 AS low, 1 AS high FROM fr WHERE ep % 9 = 0 AND f > 4",
     )
     q["validate_totals"] = (lambda s, d: S.totals(ev(s, d), 100, 3), f"WITH {FR}, {EP} SELECT count(*) AS total_episodes, sum(length)::BIGINT AS total_frames, count(*) * 3 AS total_videos, ceil(count(*) / 100.0)::BIGINT AS total_chunks FROM e")
+    q["longest_pause_smoothed"] = (lambda s, d: pause(s, d, 3), f"WITH {FR}, {pause_sql(3)} SELECT ep, insertion, release, start, stop FROM ins LEFT JOIN pb USING (ep)")
+    q["episode_limit"] = (lambda s, d: W.limited(ev(s, d), 7).select("ep", "f", "v"), f"WITH {FR} SELECT ep, f, v FROM fr WHERE ep IN (SELECT DISTINCT ep FROM fr ORDER BY ep LIMIT 7)")
+    q["id_sequence"] = (
+        lambda s, d: S.id_faults(D.episodes(ev(s, d)).withColumn("ep", F.when(F.col("ep") % 3 == 0, F.col("ep") + 1).otherwise(F.col("ep")))),
+        f"WITH {FR}, {EP}, i AS (SELECT CASE WHEN ep % 3 = 0 THEN ep + 1 ELSE ep END AS ep FROM e), s AS (SELECT count(*) AS n, min(ep) AS lowest, max(ep) AS highest, count(DISTINCT ep) AS different FROM i) SELECT * FROM s WHERE n > 0 AND (lowest <> 0 OR highest <> n - 1 OR different <> n)",
+    )
+    q["repeated_keys"] = (lambda s, d: S.repeated_keys(s.read.parquet(f"{d}/orders.parquet"), "o_custkey"), "SELECT o_custkey, count(*) AS count FROM orders GROUP BY o_custkey HAVING count(*) > 1")
+    q["must_match_join"] = (owners, "SELECT o_custkey AS ep, o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey")
+    q["interval_labels"] = (
+        described,
+        f"WITH {FR}, {EP}, {IV}, st AS (SELECT * FROM (VALUES (0, 'a', 'step 0'), (1, 'b', 'step 1')) t(ordinal, id, description)) SELECT ep, ordinal, id, description, CASE WHEN description IS NULL THEN 'missing' WHEN description <> CASE WHEN ep % 4 = 0 THEN 'other' ELSE 'step ' || ordinal END THEN 'text' END AS problem FROM iv LEFT JOIN st USING (ordinal)",
+    )
+    q["convert_reindex"] = (
+        resegmented,
+        f"""WITH {FR}, {EP}, {IV}, nb AS (SELECT ep, ordinal, start, stop, row_number() OVER (ORDER BY ep, ordinal) - 1 AS new_ep, coalesce(sum(stop - start) OVER (ORDER BY ep, ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base FROM iv WHERE stop > start)
+        SELECT ep, new_ep, ordinal, f - start AS frame_index, base + f - start AS index, round(((f - start)::DOUBLE / 30)::FLOAT::DOUBLE, 4) AS timestamp, v FROM fr JOIN nb USING (ep) WHERE f >= start AND f < nb.stop""",
+    )
+    q["cut_times"] = (cut_times, f"SELECT ep, {', '.join(f'round((cut{i} / 30.0::DOUBLE)::FLOAT::DOUBLE, 5) AS time{i}' for i in range(1, 5))}, round((task_end / 30.0::DOUBLE)::FLOAT::DOUBLE, 5) AS task_end_time FROM ({chain_sql(CHAIN)}) WHERE status = 'ok'")
+    q["moved_cuts"] = (moved_cuts, f"WITH {FR}, {EP} SELECT ep FROM e WHERE ep % 6 IN (0, 2)")
+    q["stats_documents"] = (
+        documents_of,
+        f"""WITH {VF}, u AS (SELECT ep, 'place' AS feature, unnest(x[1:3]) AS x, unnest(range(3)) AS dim FROM vf UNION ALL SELECT ep, 'grip', x[6], 0 FROM vf UNION ALL SELECT ep, 'frame_index', f::DOUBLE, 0 FROM vf),
+        s AS (SELECT ep, feature, dim, min(x) AS lo, max(x) AS hi, avg(x) AS m, stddev_pop(x) AS sd, count(x) AS n FROM u GROUP BY ALL)
+        SELECT ep, feature, {', '.join(f'list(round({c}, 6) ORDER BY dim) AS {n}' for c, n in (('lo', 'min'), ('hi', 'max'), ('m', 'mean'), ('sd', 'std')))}, [any_value(n)] AS count FROM s GROUP BY ep, feature""",
+    )
     return q
 
 

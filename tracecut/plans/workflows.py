@@ -84,7 +84,7 @@ def split(spark: SparkSession, source: str, output: str, detect_only: bool = Fal
     raw = limited(R.episode_files(spark, source), max_episodes)
     own, names = signals(raw, info)
     config = replace(config or C.Config(), fps=float(info["fps"]), names=names)
-    found = written(timed(written(C.find_cuts(own, config)), raw))
+    found = written(timed(C.find_cuts(own, config), raw))
     if found.isEmpty():
         raise ValueError(f"no episodes in {source}")
     if not detect_only:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable
@@ -76,13 +77,12 @@ class Index:
             for w, x in impact.items():
                 postings.setdefault(w, []).append((item, x / total))
         self.terms = {w: i for i, w in enumerate(sorted(postings), 1)}
-        self.items: list[list[int]] = [[]]
-        self.impacts: list[list[float]] = [[]]
-        self.bounds: list[list[float]] = [[]]
+        # 8 bytes each, as every Python worker holds the whole index
+        self.items, self.impacts, self.bounds = [array("q")], [array("d")], [array("d")]
         for w in sorted(postings):
-            self.items.append([i for i, _ in postings[w]])
-            self.impacts.append(own := [x for _, x in postings[w]])
-            self.bounds.append([max(own[i : i + BLOCK]) for i in range(0, len(own), BLOCK)])
+            self.items.append(array("q", (i for i, _ in postings[w])))
+            self.impacts.append(own := array("d", (x for _, x in postings[w])))
+            self.bounds.append(array("d", (max(own[i : i + BLOCK]) for i in range(0, len(own), BLOCK))))
         self.most = [0.0, *(max(b) for b in self.bounds[1:])]
         self.essential(kept, held, postings)
 

@@ -555,6 +555,34 @@ def test_jaccard(spark, monkeypatch):
     assert keyed(jaccard.join_similar(table(spark, rows).drop("__row")), "class_id", "n_links") == want
 
 
+def test_forest_shortens_by_what_it_found():
+    """Links at high similarities are told to be all there by long prefixes, those near the threshold only by shorter ones; without any the shortest is needed."""
+    root = jaccard.root_depth()
+    assert jaccard.reach(0.8, root) >= jaccard.RECALL > jaccard.reach(0.8, root + 1)
+    high, low = np.zeros(jaccard.BINS), np.zeros(jaccard.BINS)
+    high[-2], low[0] = 1e6, 1e6
+    deep = root + jaccard.LEVELS
+    assert jaccard.found_share(high, deep, 0.8) >= jaccard.RECALL > jaccard.found_share(low, deep, 0.8)
+    assert jaccard.found_share(low, root, 0.8) >= jaccard.RECALL > jaccard.found_share(np.zeros(jaccard.BINS), root + 1, 0.8)
+    # the estimate holds for signatures of pairs at a known similarity
+    rng, shares = np.random.default_rng(3), []
+    a = rng.integers(0, jaccard.MASK, jaccard.TREES * deep, np.uint64) | np.uint64(1)
+    for _ in range(300):
+        x = rng.integers(0, jaccard.MASK, 130, np.uint64)
+        one, two = (jaccard.tree_rows(part, root, a)[0] for part in (x[:100], x[10:]))
+        shares.append((one == two).any())
+    assert abs(np.mean(shares) - jaccard.reach(90 / 130, root)) < 0.05
+
+
+def test_jaccard_sparse_chain(spark):
+    """A component of very many texts that few prefixes connect is verified by prefixes, each link once."""
+    words = [f"w{i}" for i in range(150 * 8 + 104)]
+    rows = [(i, " ".join(words[8 * i : 8 * i + 104])) for i in range(150)] + [(500, " ".join(words[:104]))]
+    want = Counter({(i, 0, (2 if 0 < i < 149 else 1) + (2 if i == 1 else 0) // 2 + (i == 0)): 1 for i in range(150)})
+    want[500, 0, 2] += 1
+    assert keyed(jaccard.join_similar(spark.createDataFrame(rows, "doc_id long, text string")), "class_id", "n_links") == want
+
+
 @pytest.mark.parametrize(("shared", "a", "b"), [(12, 14, 13), (88, 99, 99), (404, 505, 404)])
 def test_jaccard_ties(spark, shared, a, b):
     """Pairs at exactly 0.8 are linked, those with one shingle less in common are not."""

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tracecut.sources.store import written
+
 #: Rows of an Arrow batch sent to Python; Spark also bounds a batch's bytes.
 BATCH_ROWS = 1000
 
@@ -20,35 +21,12 @@ BROADCAST_ROWS = 200_000
 #: A key is hot that more rows have than this, and than a HOT_SHARE-th of all rows; so there are fewer than HOT_SHARE hot keys, however long the table.
 HOT_ROWS, HOT_SHARE = 1_000, 50_000
 
-_own_dirs: dict[str, str] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir).
-
-    Only a session without that setting, as in tests on one machine, gets a temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        app = spark.sparkContext.applicationId
-        if app not in _own_dirs:
-            _own_dirs[app] = tempfile.mkdtemp(prefix="tracecut-")
-        base = _own_dirs[app]
-    return f"{base.rstrip('/')}/tracecut-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder, read again: lineage ends here, and every executor can read it."""
-    path = work_dir(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def joined(many: DataFrame, few: DataFrame, key: str, how: str = "inner", broadcast_rows: int | None = None) -> DataFrame:
     """many with the columns of few, which has one row a key; how: inner or left.
 
@@ -80,6 +58,13 @@ def check_names(key: str, outputs: list[str]) -> None:
         raise ValueError(f"the key column may not be named {key}: the result has a column of that name")
 
 
+def hand_back() -> None:
+    """Gives the memory that a task has freed back to the system: its Python worker stays, for other tasks."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_columns(df: DataFrame, fn: Callable[[], Callable[..., tuple]], schema: T.StructType) -> DataFrame:
     """Arrow batches through Python: fn() makes, once a task, a function from column lists to column lists."""
     target = to_arrow_schema(schema)
@@ -91,5 +76,7 @@ def map_columns(df: DataFrame, fn: Callable[[], Callable[..., tuple]], schema: T
                 step = step or fn()
                 out = step(*(c.to_pylist() for c in batch.columns))
                 yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(out, target, strict=True)], schema=target)
+        step = out = batch = None
+        hand_back()
 
     return df.mapInArrow(run, schema)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracecut.llm.common import BROADCAST_ROWS, check_names, field, joined, map_columns, table, written
+from tracecut.llm.common import BROADCAST_ROWS, check_names, field, hand_back, joined, map_columns, table, written
 from tracecut.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -40,8 +40,9 @@ BLOCK_TEXTS = 1_000
 BLOCK_SHINGLES = 2_000_000
 #: Groups up to this size are verified whole; larger ones only if no more pairs are in them than in their prefixes.
 WHOLE_TEXTS = 64
-#: Copies of a text that a task knows it has handed on.
+#: Copies of a text that a task knows it has handed on, and words whose hash it keeps.
 SEEN = 100_000
+KNOWN = 150_000
 MASK = 2**64 - 1
 
 
@@ -90,7 +91,7 @@ class Shingler:
         own = WORD.findall(text) if text else []
         if not own:
             return np.zeros(0, np.uint64)
-        if len(self.known) > 500_000:
+        if len(self.known) > KNOWN:
             self.known = {}
         known = self.known
         for w in own:
@@ -257,6 +258,8 @@ def verified(tasks: DataFrame, threshold: float) -> DataFrame:
                 rows[node] = row
         if len(rows) > 1:
             yield judge(rows)
+        rows = {}
+        hand_back()
 
     return tasks.select("task", "node", "raw", "weight", "block", "old", "own", "tree", "trees").mapInArrow(run, CHECKED)
 

@@ -27,7 +27,7 @@ GAP = 5e-4
 #: Rests are ranked within so many buckets of their size class first, and then across them: the counts of the buckets, 8 bytes each, are summed on the driver.
 BUCKETS = 512
 #: Distinct words whose ids a task keeps.
-CACHE = 600_000
+CACHE = 450_000
 #: Words that are encoded as one text.
 JOINED = 200
 #: Characters at which Python's white space and the tokenizer's differ, and the start of its special strings.

@@ -30,7 +30,7 @@ def parser() -> argparse.ArgumentParser:
         return p
 
     def video(p: argparse.ArgumentParser) -> None:
-        p.add_argument("--media", choices=("none", "carry", "cut"), default="none", help="what becomes of the camera videos")
+        p.add_argument("--media", choices=("none", "cut"), default="none", help="what becomes of the camera videos")
         p.add_argument("--crf", type=int, default=18)
         p.add_argument("--preset", default="veryfast")
         p.add_argument("--workers", type=positive, default=None, help="videos cut at once")

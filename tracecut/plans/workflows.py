@@ -195,6 +195,8 @@ def publish(spark: SparkSession, frames: DataFrame, info: dict, source: str, pat
     """
     if media not in ("none", "carry", "cut"):
         raise ValueError(f"media may be none, carry or cut, not {media}")
+    if media == "carry" and recount:
+        raise ValueError("whole videos can only be carried along where every frame is kept")
     if media == "cut" and not M.can_cut():
         raise FileNotFoundError("ffmpeg and ffprobe are needed to cut videos")
     chunk = info.get("chunks_size", 1000)

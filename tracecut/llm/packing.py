@@ -49,15 +49,6 @@ PRE_TOKENIZER = {
 }
 
 
-class Known(dict):
-    """Ids of words; those that it doesn't keep are looked up in `fresh`."""
-
-    fresh: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        return self.fresh[word]
-
-
 class WordEncoder:
     """Ids of texts, as little-endian unsigned 32-bit bytes.
 
@@ -78,7 +69,8 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for w, i in vocabulary.items() if suffix and w.endswith(suffix)]] = True
-        self.known, self.tails = Known(), Known()
+        self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -124,16 +116,28 @@ class WordEncoder:
         return out
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        known = self.known
-        words = [None if t and (not self.by_word or any(x in t for x in ODD)) else (t or "").split() for t in texts]
-        found = self.fresh(list(set().union(*(ws for ws in words if ws)).difference(known)))
-        if len(known) < CACHE:
-            known.update(found)
+        get, rows, lost, new = self.known.get, [], [], set()
+        for k, t in enumerate(texts):
+            if t and (not self.by_word or any(x in t for x in ODD)):
+                rows.append(self.encode([t]))
+                continue
+            words = (t or "").split()
+            ids = list(map(get, words))
+            rows.append(ids)
+            at = -1
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                lost.append((k, at, words[at]))
+                new.add(words[at])
+        found = self.fresh(list(new))
+        for k, at, word in lost:
+            rows[k][at] = found[word]
+        if len(self.known) < CACHE:
+            self.known.update(found)
         if len(self.tails) > CACHE:
-            self.tails = Known()
-        known.fresh = found
+            self.tails = {}
         end = array("I", [END_ID]).tobytes()
-        return [(self.encode([t])[0] if ws is None else b"".join(map(known.__getitem__, ws))) + end for t, ws in zip(texts, words, strict=True)]
+        return [b"".join(ids) + end for ids in rows]
 
 
 #: A worker process keeps its encoders from task to task.

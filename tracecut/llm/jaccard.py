@@ -374,12 +374,12 @@ def links_of(docs: DataFrame, text: str, classes: DataFrame, words: int, thresho
     out: list[DataFrame] = []
     links = np.zeros(BINS, np.int64)
     for depth in range(root + LEVELS, root - 1, -1):
-        own = joined(prefixes(rows, depth, root), state, "node").select("prefix", "comp").distinct()
-        own = written(own)
+        own = written(joined(prefixes(rows, depth, root), state, "node").select("prefix", "comp").distinct())
         leads = written(own.groupBy("prefix").agg(F.min("comp").alias("lead"), F.max("comp").alias("most")).filter("lead <> most").select("prefix", "lead"))
-        edges = joined(own, leads, "prefix").filter("comp <> lead").select("comp", "lead")
-        merged = written(components(edges, "comp", "lead").select(F.col("node").alias("comp"), F.col("comp").alias("new")))
-        if not merged.isEmpty():
+        # a depth that connects nothing new has nothing to verify
+        if not leads.isEmpty():
+            edges = joined(own, leads, "prefix").filter("comp <> lead").select("comp", "lead")
+            merged = written(components(edges, "comp", "lead").select(F.col("node").alias("comp"), F.col("comp").alias("new")))
             info = joined(state, merged, "comp").select("node", F.col("comp").alias("old"), F.col("new").alias("comp"))
             info = written(joined(known.select("node", "weight", "n"), written(info), "node"))
             tasks = joined(tasks_at(depth, root, rows, info, classes), sets, "node", broadcast_rows=0)

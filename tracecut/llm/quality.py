@@ -20,8 +20,6 @@ CLASSES = (r"\p{Ll}+", r"\p{Lu}+", r"\p{Nd}+", r"[\x20\x09-\x0D]+", r"[.,;:!?'\"
 #: Common words of a language: the COMMON that most of its documents hold twice or more, one in a hundred at least.
 COMMON = 24
 COMMON_SHARE = 0.01
-#: Only sql() knows this: the languages with references, the most frequent ones. Here all have some.
-MAX_LANGUAGES = 64
 #: Distances (0 to 1) above which a document is unlike a language, and the least length for which each counts.
 CLASS_LIMIT, CLASS_CHARS = 0.265, 200
 WORD_LIMIT, WORD_WORDS = 0.38, 100
@@ -208,7 +206,7 @@ def sql() -> str:
         FROM w LEFT JOIN rep USING (rid)),
     f AS (SELECT *, len(tokens) AS n_tokens, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b),
     tw AS (SELECT rid, lang, word, count(*) AS n FROM (SELECT rid, lang, unnest(tokens) AS word FROM w) GROUP BY ALL),
-    langs AS (SELECT lang, count(*) AS docs FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang ORDER BY docs DESC, lang LIMIT {MAX_LANGUAGES}),
+    langs AS (SELECT lang, count(*) AS docs FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang),
     often AS (SELECT lang, word, count(*) AS n, any_value(docs) AS docs FROM tw JOIN langs USING (lang) WHERE n > 1 GROUP BY lang, word),
     common AS (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS k FROM often WHERE n >= docs * {COMMON_SHARE}::DOUBLE QUALIFY k <= {COMMON}),
     lw AS (SELECT f.lang, sum(n_tokens) AS tokens, sum(n_chars) AS chars, {", ".join(f"sum(classes[{i + 1}]) AS c{i}" for i in range(n))} FROM f JOIN langs USING (lang) WHERE NOT base_failed GROUP BY f.lang),
